@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, mixing, secrets, sharding
+from . import chat, jaccard, mixing, secrets, sharding
 from .common import table
 
 
@@ -21,6 +21,10 @@ def op5_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digest(chat.format_conversations(rows.unionByName(more)))
 
 
+def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.jaccard_components(table(spark, sf_dir, "documents"))
+
+
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).drop("source", "passes")
 
@@ -33,6 +37,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_secret_scans": op1_secret_scans,
         "op5_chat_formatting": op5_chat_formatting,
+        "op8_jaccard_join": op8_jaccard_join,
         "op9_mixing": op9_mixing,
         "op10_sharding": op10_sharding,
     }

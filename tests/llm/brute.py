@@ -58,3 +58,40 @@ def targets(sizes: dict) -> dict:
 
 def crc(text: str | None) -> int:
     return zlib.crc32((text or "").encode())
+
+
+def shingle_set(text: str | None, size: int) -> frozenset:
+    low = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+    w = WORD.findall(low)
+    return frozenset(tuple(w[i : i + size]) for i in range(max(1, len(w) - size + 1))) if w else frozenset()
+
+
+def components(nodes, links) -> dict:
+    parent = {n: n for n in nodes}
+
+    def root(n):
+        while parent[n] != n:
+            n = parent[n]
+        return n
+
+    for a, b in links:
+        a, b = sorted((root(a), root(b)))
+        parent[b] = a
+    return {n: root(n) for n in nodes}
+
+
+def jaccard(docs: list[tuple], size: int, percent: int) -> dict:
+    """docs: doc_id, text."""
+    sets = {i: shingle_set(t, size) for i, t in docs}
+    by = defaultdict(list)
+    for i, s in sets.items():
+        for x in s:
+            by[x].append(i)
+    same = defaultdict(int)
+    for ids in by.values():
+        for k, a in enumerate(ids):
+            for b in ids[k + 1 :]:
+                same[a, b] += 1
+    links = [(a, b) for (a, b), n in same.items() if 100 * n >= percent * (len(sets[a]) + len(sets[b]) - n)]
+    c = components(sets, links)
+    return {i: (len(sets[i]), c[i]) for i in sets}
