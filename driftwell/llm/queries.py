@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, jaccard, mixing, secrets, sharding
+from . import chat, jaccard, mixing, secrets, sharding, suffixes
 from .common import table
 
 
@@ -21,6 +21,10 @@ def op5_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digest(chat.format_conversations(rows.unionByName(more)))
 
 
+def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.digest(suffixes.dedup(table(spark, sf_dir, "documents")))
+
+
 def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.jaccard_components(table(spark, sf_dir, "documents"))
 
@@ -37,6 +41,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_secret_scans": op1_secret_scans,
         "op5_chat_formatting": op5_chat_formatting,
+        "op7_suffix_dedup": op7_suffix_dedup,
         "op8_jaccard_join": op8_jaccard_join,
         "op9_mixing": op9_mixing,
         "op10_sharding": op10_sharding,

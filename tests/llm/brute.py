@@ -95,3 +95,22 @@ def jaccard(docs: list[tuple], size: int, percent: int) -> dict:
     links = [(a, b) for (a, b), n in same.items() if 100 * n >= percent * (len(sets[a]) + len(sets[b]) - n)]
     c = components(sets, links)
     return {i: (len(sets[i]), c[i]) for i in sets}
+
+
+def suffix_dedup(docs: list[tuple], width: int) -> dict:
+    """docs: doc_id, text; ids unique."""
+    count = defaultdict(int)
+    raws = {i: (t or "").encode() for i, t in docs}
+    for r in raws.values():
+        for k in range(len(r) - width + 1):
+            count[r[k : k + width]] += 1
+    out = {}
+    for i, r in raws.items():
+        gone = bytearray(len(r))
+        for k in range(len(r) - width + 1):
+            if count[r[k : k + width]] > 1:
+                gone[k : k + width] = b"\1" * width
+        kept = bytes(c for c, g in zip(r, gone, strict=True) if not g)
+        spans = sum(g and (k == 0 or not gone[k - 1]) for k, g in enumerate(gone))
+        out[i] = (len(r), sum(gone), spans, hashlib.sha256(kept).hexdigest())
+    return out
