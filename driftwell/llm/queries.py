@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, jaccard, mixing, secrets, sharding, suffixes
+from . import chat, jaccard, mixing, packing, secrets, sharding, suffixes
 from .common import table
 
 
@@ -21,6 +21,16 @@ def op5_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digest(chat.format_conversations(rows.unionByName(more)))
 
 
+def tokenizer_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path())
+
+
 def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixes.digest(suffixes.dedup(table(spark, sf_dir, "documents")))
 
@@ -41,6 +51,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_secret_scans": op1_secret_scans,
         "op5_chat_formatting": op5_chat_formatting,
+        "op6_best_fit_packing": op6_best_fit_packing,
         "op7_suffix_dedup": op7_suffix_dedup,
         "op8_jaccard_join": op8_jaccard_join,
         "op9_mixing": op9_mixing,
