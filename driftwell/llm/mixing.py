@@ -58,6 +58,7 @@ def mix(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str =
             F.col(key).alias("key"),
             F.col(source).alias("source"),
             F.coalesce(F.regexp_count(F.col(text), F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
+            F.xxhash64(text).alias("text_hash"),
         ).withColumn("mix_key", shuffle_key("key", "size")),
         "rows",
     ).withColumn("bucket", F.substring("mix_key", 1, 3))
@@ -73,7 +74,7 @@ def mix(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str =
     both = F.col("r.source").eqNullSafe(F.col("b.source")) & (F.col("r.bucket") == F.col("b.bucket"))
     queued = stash.keep(
         summed.join(placed.alias("b"), both).select(
-            "r.key", "r.source", "r.size", "r.mix_key", "source_size", "weight", "level", "target", (F.col("inside") + F.col("start")).alias("upto")
+            "r.key", "r.source", "r.size", "r.text_hash", "r.mix_key", "source_size", "weight", "level", "target", (F.col("inside") + F.col("start")).alias("upto")
         ),
         "queued",
     )
@@ -107,6 +108,15 @@ def mix(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str =
         .withColumn("passes", sum((whole(r) for r in range(passes)), F.lit(0)))
         .select(
             F.col("key").alias(key), "size", "source_size", "target", (F.col("size") * F.col("passes")).alias("taken"),
-            F.col("passes").cast("int"), F.col("source").alias(source),
+            F.col("passes").cast("int"), F.col("source").alias(source), "text_hash",
         )
     )
+
+
+def mixed(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
+    """The mix as rows: each document as often as it is taken, columns as in ``docs``."""
+    taken = mix(docs, key, text, source).groupBy(F.col(key).alias("k"), F.col("text_hash").alias("h")).agg(F.sum("passes").cast("int").alias("n")).filter("n > 0")
+    # Rows equal in id and text are alike; one of them stands for all their passes.
+    one = docs.withColumn("h_", F.xxhash64(text)).dropDuplicates([key, "h_"]).alias("d")
+    rows = one.join(taken.alias("t"), F.col(f"d.{key}").eqNullSafe(F.col("t.k")) & (F.col("d.h_") == F.col("t.h")))
+    return rows.select(*[F.col(f"d.{c}") for c in docs.columns], F.explode(F.sequence(F.lit(1), F.col("t.n"))).alias("pass_")).drop("pass_")

@@ -53,7 +53,7 @@ def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.mix(table(spark, sf_dir, "documents")).drop("source", "passes")
+    return mixing.mix(table(spark, sf_dir, "documents")).drop("source", "passes", "text_hash")
 
 
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
