@@ -6,6 +6,7 @@ import json
 import re
 from typing import Any
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -33,8 +34,6 @@ def array(v: Column, tag: str) -> Column:
 
 def obj(v: Column, tag: str) -> Column:
     """The text of the first object under a tag at any depth; braces inside strings do not count."""
-    import pandas as pd
-
     @F.pandas_udf("string")
     def run(text: pd.Series) -> pd.Series:
         return text.map(lambda t: None if t is None else first_object(t, tag))

@@ -11,6 +11,7 @@ import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from ..operators.aggregates import let
 from . import special
 
 #: The chi-square statistic (3 degrees of freedom) whose confidence is 0.999.
@@ -37,7 +38,11 @@ def median(values: Column, simple: bool = True, mean_weight: float = 0.0) -> Col
     """The middle value. Simple: the mean of the middle two. Otherwise the position inside the run of values equal to the
     median counts (from -1/2 to +1/2), and a median that occurs once, of an odd number, is moved towards its neighbours'
     mean by ``mean_weight``. An empty array gives null."""
-    s = F.sort_array(values)
+    return let(F.sort_array(values), lambda s: _median(s, simple, mean_weight))
+
+
+def _median(s: Column, simple: bool, mean_weight: float) -> Column:
+    """The same of a sorted array."""
     n = F.size(s)
     at = lambda i: F.get(s, i.cast("int")).cast("double")
     half = F.floor(n / 2)
@@ -45,7 +50,8 @@ def median(values: Column, simple: bool = True, mean_weight: float = 0.0) -> Col
     if simple:
         return F.when(n > 0, plain)
     mid = at(half)
-    below, run = F.size(F.filter(s, lambda x: x.cast("double") < mid)), F.size(F.filter(s, lambda x: x.cast("double") == mid))
+    doubles = s.cast("array<double>")
+    below, run = F.array_position(doubles, mid) - 1, n - F.size(F.array_remove(doubles, mid))
     inside = mid + (n / 2 - below) / run - F.lit(0.5)
     ends = (at(half - 1) + at(half + 1)) / 2
     single = F.when((n % 2 == 1) & (n > 1), mid * F.lit(1 - mean_weight) + ends * F.lit(mean_weight)).when(n == 1, mid).otherwise(plain)
@@ -56,13 +62,15 @@ def median(values: Column, simple: bool = True, mean_weight: float = 0.0) -> Col
 def count_partition(samples: Column, cut: Column, resolution: float = 1.0) -> Column:
     """struct below, above: a value within half a resolution of the cut is split in proportion. Resolution 0 counts a
     value equal to the cut half and half."""
-    def share(x: Column) -> Column:
+    def share(x: Column, c: Column) -> Column:
         x = x.cast("double")
         if resolution == 0:
-            return F.when(x < cut, F.lit(1.0)).when(x > cut, F.lit(0.0)).otherwise(F.lit(0.5))
-        return F.least(F.lit(1.0), F.greatest(F.lit(0.0), (cut - x) / F.lit(resolution) + F.lit(0.5)))
+            return F.when(x < c, F.lit(1.0)).when(x > c, F.lit(0.0)).otherwise(F.lit(0.5))
+        return F.least(F.lit(1.0), F.greatest(F.lit(0.0), (c - x) / F.lit(resolution) + F.lit(0.5)))
 
-    below = F.aggregate(samples, F.lit(0.0), lambda a, x: a + share(x))
+    # The cut goes along with each value, so that it is computed once.
+    shares = F.zip_with(samples, F.array_repeat(cut, F.size(samples)), share)
+    below = F.aggregate(shares, F.lit(0.0), lambda a, x: a + x)
     return F.struct(below.alias("below"), (F.size(samples) - below).alias("above"))
 
 
@@ -74,11 +82,13 @@ def chi_square(observed: Column, expected: Column) -> Column:
 
 def median_test_statistic(a: Column, b: Column, interpolate: bool = True) -> Column:
     """Chi-square of both samples' counts below and above the pooled median; 0 with fewer than three values on a side."""
-    pooled = median(F.concat(a, b), simple=not interpolate, mean_weight=0.5)
     resolution = 1.0 if interpolate else 0.0
-    p, q = count_partition(a, pooled, resolution), count_partition(b, pooled, resolution)
     half = lambda s: F.size(s) / F.lit(2.0)
-    out = chi_square(F.array(p["below"], p["above"], q["below"], q["above"]), F.array(half(a), half(a), half(b), half(b)))
+    term = lambda below, n: (below - n) * (below - n) * 2 / n  # noqa: E731  the counts above deviate as much as those below
+
+    pooled = median(F.concat(a, b), simple=not interpolate, mean_weight=0.5)
+    p, q = count_partition(a, pooled, resolution), count_partition(b, pooled, resolution)
+    out = term(p["below"], half(a)) + term(q["below"], half(b))
     return F.when((F.size(a) < 3) | (F.size(b) < 3), F.lit(0.0)).otherwise(out)
 
 

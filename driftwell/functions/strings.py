@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import re
+
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -140,8 +143,6 @@ def to_string(v: Column, kind: str = "value") -> Column:
 
 def patch(lines: Column, diff: Column, reverse: bool = False) -> Column:
     """A unified diff applied to an array of lines (backwards with ``reverse``)."""
-    import pandas as pd
-
     @F.pandas_udf("array<string>")
     def run(a: pd.Series, d: pd.Series) -> pd.Series:
         return pd.Series([None if x is None else patched(list(x), [] if y is None else list(y), reverse) for x, y in zip(a, d, strict=True)])
@@ -150,8 +151,6 @@ def patch(lines: Column, diff: Column, reverse: bool = False) -> Column:
 
 
 def patched(lines: list[str], diff: list[str], reverse: bool = False) -> list[str]:
-    import re
-
     out, at = [], 0
     for line in diff:
         if m := re.match(r"@@ -(\d+)(?:,(\d+))? \+(\d+)(?:,(\d+))? @@", line):

@@ -35,6 +35,11 @@ def aggregate(name: str, value: Column | None) -> Column:
     return BY_NAME[name](value)
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """The body with the value computed once, where it would otherwise be written out at each use."""
+    return F.get(F.transform(F.array(value), lambda x: body(x)), F.lit(0))
+
+
 def known(c: Column) -> Column:
     """NaN as null, for folds that skip both."""
     return F.nullif(F.nanvl(c.cast("double"), F.lit(None).cast("double")), F.lit(float("nan")))
@@ -85,11 +90,16 @@ def unsummary(t: Column) -> Column:
 
 def trimmed(values: Column, middle: float) -> Column:
     """Summary of the middle fraction of an array: ceil(n (1 - f) / 2) values go at each end; nothing left: count 0."""
-    n = F.size(values)
-    off = F.ceil(n * F.lit((1.0 - middle) / 2)).cast("int")
-    kept = F.when(off * 2 < n, F.slice(F.sort_array(values), off + 1, F.greatest(n - off * 2, F.lit(0)))).otherwise(F.slice(values, 1, 0))
-    fold = lambda p: F.aggregate(kept, F.lit(0.0), lambda a, x: a + F.pow(x.cast("double"), F.lit(float(p))))
-    return summary(F.struct(*[fold(p).alias(f"S{p}") for p in range(5)]))
+    def of(v: Column) -> Column:
+        n = F.size(v)
+        off = F.ceil(n * F.lit((1.0 - middle) / 2)).cast("int")
+        return F.when(off * 2 < n, F.slice(v, off + 1, F.greatest(n - off * 2, F.lit(0)))).otherwise(F.slice(v, 1, 0))
+
+    def sums(kept: Column) -> Column:
+        fold = lambda p: F.aggregate(kept, F.lit(0.0), lambda a, x: a + F.pow(x.cast("double"), F.lit(float(p))))
+        return F.struct(*[fold(p).alias(f"S{p}") for p in range(5)])
+
+    return let(let(let(F.sort_array(values), of), sums), summary)
 
 
 def null_add(*values: Column) -> Column:

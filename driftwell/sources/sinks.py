@@ -59,5 +59,5 @@ def write_blobs(df: DataFrame, key: str, blob: str, path: str) -> None:
 def mail(df: DataFrame, first_id: int = 0) -> tuple[DataFrame, DataFrame]:
     """(content, delivery) of rows (id, to, subject, body): recipients are split at semicolons."""
     content = df.select((F.col("id") + first_id).alias("id"), "subject", F.lit(None).cast("timestamp").alias("date_sent"), "body")
-    names = F.filter(F.transform(F.split("to", ";"), F.trim), lambda x: x != "")
+    names = F.filter(F.transform(F.split("to", ";"), lambda x: F.trim(x)), lambda x: x != "")
     return content, df.select((F.col("id") + first_id).alias("content"), F.explode(F.array_distinct(names)).alias("deliver_to"))
