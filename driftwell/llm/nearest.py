@@ -1,7 +1,8 @@
 """Approximate nearest neighbours by a forest of random-projection trees.
 
-A tree splits at the median of a random projection, on every level; medians come from a sample of at most ``SAMPLE``
-vectors, and every vector is put into a leaf of each tree. A query searches all trees through one priority queue of
+A tree splits at the median of a random projection, on ``DEPTH`` levels (fewer only where leaves would hold less than
+``LEAF``); medians come from a sample of at most ``SAMPLE`` vectors, and every vector is put into a leaf of each tree. Trees
+do not deepen with the table, so a query opens about as many leaves whatever the table's size. A query searches all trees through one priority queue of
 margins: the branch nearest to any split is opened next, until the leaves hold ``SHARE`` of the vectors, trees counted
 separately. The leaves' vectors are ranked exactly and the best of all leaves are merged.
 
@@ -29,7 +30,7 @@ from pyspark.sql import functions as F
 from . import kernels, vectors
 from .common import Stash, ship
 
-SAMPLE, TREES, LEAF, MOST_DEPTH = 1 << 16, 16, 96, 11
+SAMPLE, TREES, LEAF, DEPTH = 1 << 16, 16, 8, 6
 #: Vectors in the opened leaves, over all trees, as a share of all vectors; recall in the README was measured with it.
 SHARE = 1.2
 PART = 4096
@@ -40,7 +41,7 @@ SLACK = 1e-9
 class Forest:
     def __init__(self, x: np.ndarray, total: int, seed: int = 17) -> None:
         rng = np.random.default_rng(seed)
-        self.depth = int(np.clip(np.round(np.log2(max(total, 1) / LEAF)), 0, MOST_DEPTH))
+        self.depth = int(np.clip(np.round(np.log2(max(total, 1) / LEAF)), 0, DEPTH))
         inner = 2**self.depth - 1
         x = x / vectors.norms(x)[:, None]
         self.planes = rng.standard_normal((TREES, inner, x.shape[1]))
@@ -158,7 +159,7 @@ def nearest(df: DataFrame, queries: Column, k: int = 5, key: str = "vec_id", vec
     total = good.count()
     sample = good.orderBy(F.xxhash64("id"), "id").limit(SAMPLE).select("vec").toArrow()
     forest = spark.sparkContext.broadcast(Forest(vectors.matrix(sample.column("vec")) if total else np.ones((1, 1)), total))
-    counted = good.mapInArrow(put(forest, None), "leaf long").groupBy("leaf").count().collect()  # TREES * 2**MOST_DEPTH rows at most
+    counted = good.mapInArrow(put(forest, None), "leaf long").groupBy("leaf").count().collect()  # TREES * 2**DEPTH rows at most
     sizes = np.zeros((TREES, 2**forest.value.depth), np.int64)
     for r in counted:
         sizes[r["leaf"] >> 32, r["leaf"] & 0xFFFFFFFF] = r["count"]
