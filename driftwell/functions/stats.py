@@ -10,6 +10,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 from ..operators.aggregates import let
 from . import special
@@ -18,18 +19,18 @@ from . import special
 CHI2_999 = 16.26623619623813
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def chi2_confidence(x: pd.Series) -> pd.Series:
     """Distribution function of chi-square with 3 degrees of freedom."""
     return pd.Series(special.chi2_cdf_3(x.fillna(0).to_numpy())).where(x.notna().to_numpy())
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def t_distribution(t: pd.Series, df: pd.Series) -> pd.Series:
     return pd.Series(special.t_cdf(t.to_numpy(float), df.to_numpy(float)))
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def beta_inverse(c: pd.Series, a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series(special.beta_quantile(c.to_numpy(float), a.to_numpy(float), b.to_numpy(float)))
 
@@ -118,13 +119,21 @@ def single_t(x: Column, s: Column) -> Column:
     return F.struct(F.when(few, F.lit(0.0)).otherwise(t_distribution(t, df)).alias("confidence"), t.alias("diff"))
 
 
-def confident_fail_rate(fail: Column, passed: Column, confidence: float = 0.9) -> Column:
-    """The failure rate nearest to 1/2 inside the central beta interval that holds ``confidence``."""
-    tail = (1 - confidence) / 2
-    low, high = beta_inverse(F.lit(tail), fail + 1.0, passed + 1.0), beta_inverse(F.lit(1 - tail), fail + 1.0, passed + 1.0)
+def confident_fail_rate(fail: Column, passed: Column, confidence: float = 0.7) -> Column:
+    """The failure rate nearest to 1/2 between the one-sided beta bounds that hold with ``confidence``."""
+    one = F.lit(1.0)
+    low = F.when(fail == 0, F.lit(0.0)).otherwise(beta_inverse(F.lit(1 - confidence), F.greatest(fail, one), passed + 1.0))
+    high = F.when(passed == 0, one).otherwise(beta_inverse(F.lit(confidence), fail + 1.0, F.greatest(passed, one)))
     return F.when(low > 0.5, low).when(high < 0.5, high).otherwise(F.lit(0.5))
 
 
+def failure_rate(rate: Column, fails: Column, passes: Column, prior: float = 0.01) -> Column:
+    """An aggregate over tests: the chance of a real failure, from each test's failure rate and its current results."""
+    p = F.greatest(F.lit(1e-12), F.least(F.lit(1 - 1e-12), rate))
+    odds = F.lit(float(np.log(prior / (1 - prior)))) + F.sum((fails - passes) * F.ln((F.lit(1.0) - p) / p))
+    return F.lit(1.0) / (F.lit(1.0) + F.exp(-odds))
+
+
 def failure_odds(rate: Column, fails: Column, passes: Column) -> Column:
     """Chance that a test really fails, from its history's failure rate and counts of current results: every failure adds
     1 - rate, every pass adds rate as evidence."""
