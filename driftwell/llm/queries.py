@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, jaccard, mixing, nearest, packing, secrets, sharding, suffixes, toxicity, vector_dedup
+from . import chat, jaccard, mixing, nearest, oracles, packing, secrets, sharding, suffixes, toxicity, vector_dedup
 from .common import table
 
 
@@ -76,4 +76,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {
+        "op1_secret_scans": oracles.secret_scans(),
+        "op4_embedding_dedup": oracles.EMBEDDING_DEDUP,
+        "op5_chat_formatting": oracles.chat_formatting(),
+        "op8_jaccard_join": oracles.JACCARD_JOIN,
+        "op9_mixing": oracles.MIXING,
+    }
