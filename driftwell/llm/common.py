@@ -43,6 +43,7 @@ class Stash:
     def keep(self, df: DataFrame, name: str) -> DataFrame:
         path = f"{self.root}/{name}"
         df.write.parquet(path)
+        self.spark._jvm.System.gc()  # lets Spark's cleaner delete the shuffle files of finished plans
         return self.spark.read.schema(df.schema).parquet(path)
 
     def drop(self, name: str) -> None:

@@ -2,13 +2,14 @@
 
 A document is the set of its distinct word shingles (64-bit hashes). Equal sets are collapsed first; one representative
 each goes on. Representatives are partitioned into groups of similar sets (equal bottom-2 sketches). The matrix holds a
-row (token, group) for the tokens in the members' prefixes: two sets can only reach the threshold if the first
-n - ceil(threshold * n) + 1 of their tokens, in any one global order, share a token. Groups that share a prefix token
-form a query-group pair; the task that owns a group computes the union of its members' tokens, bounds each query's
-overlap with that union, and opens the group only for queries whose bound reaches the threshold. Members and queries
-are then compared exactly.
+row (token, group) for the tokens in the members' prefixes, in one global order of tokens. Two sets with n tokens at most
+that reach the threshold share m of the first n - ceil(threshold * n) + m tokens; m is a fiftieth of n, or 1. Two groups
+are a candidate pair only if their rows overlap in as many tokens as their smallest members must share. The task that
+owns a group computes the union of its members' tokens, bounds each query's overlap with that union, and opens the group
+only for queries whose bound reaches the threshold. Members and queries are then compared exactly.
 
-Only connectivity is asked for, so sets of one component are not compared with each other once they are connected.
+Only connectivity is asked for, so sets of one component are not compared with each other once they are connected: every
+group first asks only the largest group it is paired with, and a second round takes the pairs that this left apart.
 
 The global order puts frequent tokens last. Frequencies come from a pass over all documents and only steer the work: the
 table that is broadcast holds at most ``HOT`` tokens, and a token missing from it counts as rare. Results do not depend
@@ -37,17 +38,21 @@ from .kernels import mix, shingles
 
 #: Most tokens in the frequency table, and the count from which a token is worth an entry.
 HOT, HOT_FROM = 1 << 19, 12
+#: Members of a block, and queries of a task.
+BLOCK = 1000
+#: A prefix is longer than needed to share one token by this part of the set, so that it must share as many.
+EXTRA = 50
 #: Tokens that the counting pass holds at once.
 WINDOW = 1 << 21
 
 LIGHT = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("sig1", pa.int64()), ("sig2", pa.int64()), ("grp", pa.int64()), ("prefix", pa.list_(pa.int64()))])
-FULL = pa.schema([("doc_id", pa.int64()), ("tokens", pa.binary())])
+ROLE = pa.schema([("owner", pa.int64()), ("task", pa.int64()), ("query", pa.bool_()), ("doc_id", pa.int64()), ("tokens", pa.binary())])
 TOKEN = pa.schema([("tok", pa.int64()), ("n", pa.int64())])
-PAIR = pa.schema([("g1", pa.int64()), ("g2", pa.int64())])
+PAIR = pa.schema([("g1", pa.int64()), ("g2", pa.int64()), ("shared", pa.int64())])
 
 
 def _ddl(schema: pa.Schema) -> str:
-    names = {pa.int64(): "long", pa.binary(): "binary", pa.list_(pa.int64()): "array<long>"}
+    names = {pa.int64(): "long", pa.bool_(): "boolean", pa.binary(): "binary", pa.list_(pa.int64()): "array<long>"}
     return ", ".join(f"{f.name} {names[f.type]}" for f in schema)
 
 
@@ -87,6 +92,11 @@ def in_order(tokens: np.ndarray, hot: np.ndarray, freq: np.ndarray, most: int) -
     return np.concatenate([rare, tokens[rest][order][: most - len(rare)]])
 
 
+def overlap(n, percent: int):
+    """Tokens that the prefixes of two similar sets share at least, by the smaller set's size: a fiftieth, or one."""
+    return np.minimum(1 + n // EXTRA, -(-percent * n // 100))
+
+
 def sketch(size: int, percent: int, hot):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         toks, freq = hot.value
@@ -100,7 +110,7 @@ def sketch(size: int, percent: int, hot):
                 s2.append(int(mixed.sum(dtype=np.uint64).view(np.int64)))
                 low = np.sort(mixed)[:2]
                 grp.append(int(mix(low[:1] * kernels.BASE + low[-1:])[0].view(np.int64)) if k else 0)
-                prefixes.append(in_order(tokens, toks, freq, k + (-percent * k) // 100 + 1 if k else 0).view(np.int64))
+                prefixes.append(in_order(tokens, toks, freq, k + (-percent * k) // 100 + overlap(k, percent) if k else 0).view(np.int64))
             sizes = np.array([0] + [len(p) for p in prefixes]).cumsum().astype(np.int32)
             flat = np.concatenate(prefixes) if prefixes else np.zeros(0, np.int64)
             yield pa.RecordBatch.from_arrays(
@@ -110,23 +120,33 @@ def sketch(size: int, percent: int, hot):
     return run
 
 
-def full_sets(size: int):
+def sets_for_roles(size: int):
+    """From texts with their roles (owner, task, query): the text's set once for each role."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = [t.tobytes() for _, t in shingles(batch.column("text"), size)]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id").cast(pa.int64()), pa.array(sets, pa.binary())], schema=FULL)
+            ids, roles = batch.column("doc_id").to_pylist(), batch.column("roles")
+            for row, tokens in shingles(batch.column("text"), size):
+                own = roles[row].as_py()
+                for i in range(0, len(own), 64):
+                    some = own[i : i + 64]
+                    yield pa.RecordBatch.from_arrays(
+                        [*(pa.array([r[c] for r in some], ROLE.field(c).type) for c in ("owner", "task", "query")), pa.array([ids[row]] * len(some), pa.int64()), pa.array([tokens.tobytes()] * len(some), pa.binary())], schema=ROLE
+                    )
 
     return run
 
 
 def group_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (tok, grp) sorted by both: the pairs of groups that share a token, for one token at a time."""
-    last, groups, seen = None, [], set()
+    """Rows (tok, grp) sorted by both: pairs of groups with the number of tokens that they share."""
+    last, groups = None, np.zeros(0, np.int64)
 
-    def paired(found: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-        for g in found:
+    def paired(lists: dict[bytes, int]) -> Iterator[pa.RecordBatch]:
+        for key, n in lists.items():
+            g = np.frombuffer(key, np.int64)
             for i in range(len(g) - 1):
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(g) - 1 - i, g[i])), pa.array(g[i + 1 :])], schema=PAIR)
+                many = len(g) - 1 - i
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(many, g[i])), pa.array(g[i + 1 :]), pa.array(np.full(many, n))], schema=PAIR)
 
     for batch in batches:
         tok, grp = batch.column("tok").to_numpy(), batch.column("grp").to_numpy()
@@ -136,18 +156,16 @@ def group_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             tok, grp = np.concatenate([np.full(len(groups), last), tok]), np.concatenate([groups, grp])
         edge = np.flatnonzero(np.append(True, tok[1:] != tok[:-1]))
         last, groups = tok[-1], np.unique(grp[edge[-1] :])
-        runs = np.diff(edge)
-        found = []
-        for i in np.flatnonzero(runs > 1):
+        # Tokens of similar sets lie in the same groups; equal lists are paired once.
+        lists: dict[bytes, int] = {}
+        for i in np.flatnonzero(np.diff(edge) > 1):
             g = np.unique(grp[edge[i] : edge[i + 1]])
-            if len(g) > 1 and (key := g.tobytes()) not in seen:
-                if len(seen) > 10_000:
-                    seen.clear()
-                seen.add(key)
-                found.append(g)
-        yield from paired(found)
+            if len(g) > 1:
+                key = g.tobytes()
+                lists[key] = lists.get(key, 0) + 1
+        yield from paired(lists)
     if last is not None and len(groups) > 1:
-        yield from paired([groups])
+        yield from paired({groups.tobytes(): 1})
 
 
 def similar(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
@@ -241,33 +259,51 @@ def jaccard_components(docs: DataFrame, size: int = 4, percent: int = 85, key: s
     reps = stash.keep(
         sets.groupBy("sig1", "sig2", "n").agg(F.min("doc_id").alias("rep"), F.first("grp").alias("grp")), "reps"
     )
-    members = reps.select("grp", "rep")
-    matrix = sets.join(reps, sets["doc_id"] == reps["rep"], "left_semi").select(F.explode("prefix").alias("tok"), "grp")
-    pairs = (
-        matrix.repartition("tok").sortWithinPartitions("tok", "grp").mapInArrow(group_pairs, _ddl(PAIR)).distinct()
+    # Groups are cut into blocks of at most about BLOCK members; blocks of one group meet again through their tokens.
+    large = reps.groupBy("grp").agg(F.count("*").alias("m")).filter(F.col("m") > BLOCK)
+    part = F.pmod(F.xxhash64("rep"), F.ceil(F.col("m") / BLOCK))
+    members = stash.keep(
+        reps.join(large, "grp", "left").select("rep", "n", F.when(F.col("m").isNull(), F.col("grp")).otherwise(F.xxhash64("grp", part)).alias("grp")), "members"
     )
-    sizes = members.groupBy("grp").agg(F.count("*").alias("m"))
-    # The smaller group's members are the queries, the larger group is opened.
-    sized = pairs.join(sizes.select(F.col("grp").alias("g1"), F.col("m").alias("m1")), "g1").join(
-        sizes.select(F.col("grp").alias("g2"), F.col("m").alias("m2")), "g2"
+    matrix = light.select("doc_id", "prefix").join(members, F.col("doc_id") == F.col("rep")).select("grp", F.explode("prefix").alias("tok"))
+    pairs = matrix.repartition("tok").sortWithinPartitions("tok", "grp").mapInArrow(group_pairs, _ddl(PAIR)).groupBy("g1", "g2").agg(F.sum("shared").alias("shared"))
+    sizes = members.groupBy("grp").agg(F.count("*").alias("m"), F.min("n").alias("lo"), F.max("n").alias("hi"))
+    sized = pairs.join(sizes.select(*[F.col(c).alias(f"{c}1" if c != "grp" else "g1") for c in sizes.columns]), "g1").join(
+        sizes.select(*[F.col(c).alias(f"{c}2" if c != "grp" else "g2") for c in sizes.columns]), "g2"
     )
-    directed = stash.keep(
-        sized.select(
-            F.when(F.col("m1") <= F.col("m2"), F.col("g1")).otherwise(F.col("g2")).alias("asks"),
-            F.when(F.col("m1") <= F.col("m2"), F.col("g2")).otherwise(F.col("g1")).alias("owner"),
-        ),
-        "pairs",
+    least = lambda n: F.least(1 + F.floor(n / EXTRA), F.ceil(n * percent / 100))  # noqa: E731  as overlap()
+    enough = F.col("shared") >= F.least(least(F.col("lo1")), least(F.col("lo2")))
+    near = enough & (F.col("lo1") * percent <= F.col("hi2") * 100) & (F.col("lo2") * percent <= F.col("hi1") * 100)
+    # The smaller block's members are the queries, the larger block is opened.
+    first = F.struct("m1", "g1") < F.struct(F.col("m2").alias("m1"), F.col("g2").alias("g1"))
+    pick = lambda x, y: F.when(first, F.col(x)).otherwise(F.col(y))
+    directed = stash.keep(sized.filter(near).select(pick("g1", "g2").alias("asks"), pick("g2", "g1").alias("owner"), pick("m2", "m1").alias("m")), "pairs")
+    def opened(queries: DataFrame, owners: DataFrame) -> DataFrame:
+        """Edges from opening ``owners`` (owner) for ``queries`` (owner, doc_id); an owner's queries are dealt to several tasks."""
+        load = owners.join(queries.groupBy("owner").agg(F.ceil(F.count("*") / BLOCK).alias("tasks")), "owner", "left").select("owner", F.coalesce("tasks", F.lit(1)).alias("tasks"))
+        asks = queries.join(load, "owner").select("owner", F.pmod(F.xxhash64("doc_id"), "tasks").alias("task"), "doc_id", F.lit(True).alias("query"))
+        own = members.withColumnRenamed("grp", "owner").join(load, "owner").select(
+            "owner", F.explode(F.sequence(F.lit(0).cast("long"), F.col("tasks") - 1)).alias("task"), F.col("rep").alias("doc_id"), F.lit(False).alias("query")
+        )
+        roles = own.unionByName(asks).groupBy("doc_id").agg(F.collect_list(F.struct("owner", "task", "query")).alias("roles"))
+        sets = source.join(roles, "doc_id").mapInArrow(sets_for_roles(size), _ddl(ROLE))
+        return sets.groupBy("owner", "task").applyInPandas(open_group(percent), "a long, b long")
+
+    # First every block asks the largest block it is paired with; most sets are connected by that.
+    best = directed.groupBy("asks").agg(F.max(F.struct("m", "owner")).alias("best")).select("asks", "best.owner")
+    queries = members.join(best, members["grp"] == best["asks"]).select("owner", F.col("rep").alias("doc_id"))
+    owners = sizes.filter("m > 1").select(F.col("grp").alias("owner")).union(best.select("owner")).distinct()
+    edges = components(opened(queries, owners), stash, "first")
+    # Then the remaining pairs, without sets that are connected to all of the owner's already.
+    placed = members.join(edges, members["rep"] == edges["node"], "left").select("grp", "rep", F.coalesce("component", "rep").alias("component"))
+    whole = placed.groupBy("grp").agg(F.min("component").alias("least"), F.max("component").alias("most")).filter("least = most").select(F.col("grp").alias("owner"), F.col("least").alias("one"))
+    rest = directed.join(best, ["asks", "owner"], "left_anti")
+    queries = (
+        placed.join(rest, placed["grp"] == rest["asks"]).join(whole, "owner", "left").filter("one is null or one <> component").select("owner", F.col("rep").alias("doc_id"))
     )
-    owners = sizes.filter("m > 1").select("grp").union(directed.select("owner")).distinct()
-    roles = stash.keep(
-        members.join(owners, "grp", "left_semi").select(F.col("grp").alias("owner"), F.col("rep").alias("doc_id"), F.lit(False).alias("query"))
-        .union(members.join(directed, members["grp"] == directed["asks"]).select("owner", F.col("rep").alias("doc_id"), F.lit(True).alias("query")).distinct()),
-        "roles",
-    )
-    needed = roles.select("doc_id").distinct()
-    tokens = stash.keep(source.join(needed, "doc_id", "left_semi").mapInArrow(full_sets(size), _ddl(FULL)), "tokens").dropDuplicates(["doc_id"])
-    edges = roles.join(tokens, "doc_id").groupBy("owner").applyInPandas(open_group(percent), "a long, b long")
-    found = components(edges, stash)
+    queries = stash.keep(queries, "queries")
+    more = opened(queries, queries.select("owner").distinct())
+    found = components(edges.select(F.col("node").alias("a"), F.col("component").alias("b")).union(more), stash, "second")
     by_rep = reps.join(found, reps["rep"] == found["node"], "left").select("sig1", "sig2", "n", F.coalesce("component", "rep").alias("component"))
     by_set = light.select("doc_id", "n", "sig1", "sig2").join(by_rep, ["sig1", "sig2", "n"], "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
