@@ -105,10 +105,9 @@ NOW = dt.datetime(2024, 6, 1)
 
 
 def stored_alerts(t: Tables) -> DataFrame:
-    """Alerts made from orders: a key, a status, a solution here and there."""
-    o = t.orders.filter("o_orderkey % 10 = 0")
+    """One alert from each order: a key, a status, a solution here and there."""
     one = F.lit(NOW).cast("timestamp")
-    return o.select(
+    return t.orders.select(
         F.col("o_orderkey").cast("string").alias("tdad_id"), F.lit("sustained").alias("reason"), F.concat(F.lit("r"), F.col("o_custkey") % 40).alias("revision"), F.lit(0.8).alias("severity"),
         ((F.col("o_orderkey") % 97 + 1) / 100.0).alias("confidence"), F.to_json(F.struct(F.col("o_orderpriority").alias("test"))).alias("details"), F.when(F.col("o_orderstatus") == "P", "obsolete").otherwise("new").alias("status"),
         one.alias("create_time"), (one - F.make_dt_interval(F.col("o_orderkey").cast("int") % 60)).alias("last_updated"), F.when(F.col("o_orderkey") % 30 == 0, one).alias("last_sent"), F.when(F.col("o_orderkey") % 70 == 0, F.lit("done")).alias("solution"),
