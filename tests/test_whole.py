@@ -44,3 +44,8 @@ def test_every_order_is_an_alert(spark, duck, name):
     got = holds(spark, duck, name, " WHERE o_orderkey % 10 = 0")
     if name == "alerts_reconciled":
         assert len(got) == duck.execute("SELECT count(*) FROM orders").fetchone()[0] + 1
+
+
+def test_duplicates_are_searched_in_the_whole_table(spark, duck):
+    got = holds(spark, duck, "report_duplicates", " WHERE o_orderkey BETWEEN 100 AND 9000")
+    assert any(9000 < x for row in got for x in row if isinstance(x, int))
