@@ -49,3 +49,8 @@ def test_every_order_is_an_alert(spark, duck, name):
 def test_duplicates_are_searched_in_the_whole_table(spark, duck):
     got = holds(spark, duck, "report_duplicates", " WHERE o_orderkey BETWEEN 100 AND 9000")
     assert any(9000 < x for row in got for x in row if isinstance(x, int))
+
+
+def test_union_and_product_fold_all_orders(spark, duck):
+    got = holds(spark, duck, "fold_union_product", " WHERE o_orderkey < 4000")
+    assert all(math.isfinite(x) for row in got for x in row if isinstance(x, float))
