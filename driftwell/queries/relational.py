@@ -71,7 +71,7 @@ def join_asof(t: Tables) -> DataFrame:
 
 @query("""SELECT DISTINCT n_name FROM customer JOIN nation ON c_nationkey = n_nationkey WHERE c_mktsegment = 'BUILDING' AND c_custkey < 60""")
 def join_image(t: Tables) -> DataFrame:
-    some = t.customer.filter("c_mktsegment = 'BUILDING' and c_custkey < 60").select("c_nationkey")
+    some = t.customer.filter("c_mktsegment = 'BUILDING'").select("c_nationkey")
     return joins.image(some, "c_nationkey", t.nation, "n_nationkey", "n_name")
 
 

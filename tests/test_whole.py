@@ -54,3 +54,7 @@ def test_duplicates_are_searched_in_the_whole_table(spark, duck):
 def test_union_and_product_fold_all_orders(spark, duck):
     got = holds(spark, duck, "fold_union_product", " WHERE o_orderkey < 4000")
     assert all(math.isfinite(x) for row in got for x in row if isinstance(x, float))
+
+
+def test_image_of_all_customers_of_a_segment(spark, duck):
+    holds(spark, duck, "join_image", " AND c_custkey < 60")
