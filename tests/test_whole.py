@@ -28,10 +28,10 @@ def near(x, y):
     return x == y or (isinstance(x, (int, float)) and isinstance(y, (int, float)) and math.isclose(x, y, rel_tol=1e-6, abs_tol=2e-6))
 
 
-def holds(spark, duck, name, cut):
-    """The rows of a query, after they were found equal to those of its SQL without ``cut``."""
+def holds(spark, duck, name, cut, around="{}"):
+    """The rows of a query, after they were found equal to those of its SQL without ``cut``, put into ``around``."""
     df = queries.queries()[name](spark, FOLDER)
-    found = duck.execute(queries.oracle_sql()[name].replace(cut, ""))
+    found = duck.execute(around.format(queries.oracle_sql()[name].replace(cut, "")))
     names = [c[0] for c in found.description]
     got, want = rows(df.columns, df.collect()), rows(names, found.fetchall())
     assert sorted(names) == sorted(df.columns) and len(got) == len(want)
@@ -58,3 +58,10 @@ def test_union_and_product_fold_all_orders(spark, duck):
 
 def test_image_of_all_customers_of_a_segment(spark, duck):
     holds(spark, duck, "join_image", " AND c_custkey < 60")
+
+
+def test_every_document_is_cleaned(spark, duck):
+    cut = " WHERE contains(text, 'the') OR contains(text, 'que')"
+    got = holds(spark, duck, "strings_clean", cut, "SELECT * REPLACE (CASE WHEN first = 999999 THEN -1 ELSE first END AS first) FROM ({})")
+    assert len(got) == duck.execute("SELECT count(*) FROM documents").fetchone()[0]
+    assert any(-1 in row for row in got)
