@@ -33,6 +33,16 @@ class Rule:
     least: int = 0
 
 
+#: A PEM private key: the BEGIN line, then headers, base64 lines and the END line. Where a base64 body is cut off before its
+#: END line: its lines of a width that PEM writers use, and a shorter last one of 16 characters at least. Groups repeat only
+#: texts of one length, which Java's matcher does without recursion.
+_BODY = "|".join(f"(?:{end}[A-Za-z0-9+/]{{{n}}})+(?:{end}[A-Za-z0-9+/]{{16,{n}}}={{0,2}})?" for n in (76, 70, 64) for end in (r"\r\n", r"\n", r"\\n"))
+PRIVATE_KEY = (
+    r"-----BEGIN [A-Z ]*PRIVATE KEY-----"
+    r"(?:(?:[\\nr\x20\t\r\n]*Proc-Type:[^\n\\]*)?(?:[\\nr\x20\t\r\n]*DEK-Info:[^\n\\]*[\\nr\r\n]*)?"
+    rf"(?:[A-Za-z0-9+/=\\\x20\t\r\n]*-----END [A-Z ]*PRIVATE KEY-----|{_BODY}))?"
+)
+
 #: The three kinds that every report counts, in report order, then the kinds that the index adds.
 RULES = (
     Rule("assign", r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 2, 6),
@@ -42,7 +52,7 @@ RULES = (
     Rule("chat_token", r"xox[abprs]-[A-Za-z0-9-]{10,}"),
     Rule("map_key", r"AIza[A-Za-z0-9_-]{35}"),
     Rule("web_token", r"eyJ[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}"),
-    Rule("private_key", r"-----BEGIN [A-Z ]*PRIVATE KEY-----"),
+    Rule("private_key", PRIVATE_KEY),
 )
 BASE = ("assign", "access", "hex")
 
