@@ -9,8 +9,8 @@ separately. The leaves' vectors are ranked exactly and the best of all leaves ar
 Leaves are cut into parts of at most about ``PART`` vectors (equal vectors share a leaf, however many they are), and a
 query goes to each part.
 
-Edge cases: vectors that are null, zero or hold null or non-finite components take no part, nor do rows with a null id
-or an uncommon length; repeated rows are separate candidates, but a row with the query's id is never a candidate; with fewer than
+Edge cases: vectors that are null, zero or hold null or non-finite components take no part, nor do rows with a null id;
+each length of vectors has a forest of its own; repeated rows are separate candidates, but a row with the query's id is never a candidate; with fewer than
 k candidates all are returned; an empty table gives no rows; other columns are ignored.
 """
 
@@ -19,6 +19,7 @@ from __future__ import annotations
 import heapq
 import sys
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -149,14 +150,9 @@ def rank(k: int):
     return run
 
 
-def nearest(df: DataFrame, queries: Column, k: int = 5, key: str = "vec_id", vector: str = "embedding", share: float = SHARE) -> DataFrame:
-    """query_id, rank, vec_id, score: for the rows that satisfy ``queries``, the k nearest other rows found, by cosine."""
-    for m in (kernels, vectors, sys.modules[__name__]):
-        ship(m)
-    spark = df.sparkSession
-    stash = Stash(spark, "nearest")
-    good = vectors.usable(df, key, vector, stash)
-    total = good.count()
+def found_in(good: DataFrame, total: int, queries: Column, k: int, key: str, share: float) -> DataFrame:
+    """query_id, vec_id, score from the leaves, for vectors of one length."""
+    spark = good.sparkSession
     sample = good.orderBy(F.xxhash64("id"), "id").limit(SAMPLE).select("vec").toArrow()
     forest = spark.sparkContext.broadcast(Forest(vectors.matrix(sample.column("vec")) if total else np.ones((1, 1)), total))
     counted = good.mapInArrow(put(forest, None), "leaf long").groupBy("leaf").count().collect()  # TREES * 2**DEPTH rows at most
@@ -168,7 +164,15 @@ def nearest(df: DataFrame, queries: Column, k: int = 5, key: str = "vec_id", vec
     schema = f"leaf long, part long, id long, vec {kind}, query boolean"
     asked = good.withColumnRenamed("id", key).filter(queries).withColumnRenamed(key, "id").mapInArrow(ask(forest, parts, held, share * total), schema)
     both = good.mapInArrow(put(forest, parts), schema).unionByName(asked)
-    found = both.groupBy("leaf", "part").applyInPandas(rank(k), "query_id long, vec_id long, score double")
+    return both.groupBy("leaf", "part").applyInPandas(rank(k), "query_id long, vec_id long, score double")
+
+
+def nearest(df: DataFrame, queries: Column, k: int = 5, key: str = "vec_id", vector: str = "embedding", share: float = SHARE) -> DataFrame:
+    """query_id, rank, vec_id, score: for the rows that satisfy ``queries``, the k nearest other rows found, by cosine."""
+    for m in (kernels, vectors, sys.modules[__name__]):
+        ship(m)
+    good = vectors.usable(df, key, vector, Stash(df.sparkSession, "nearest"))
+    found = reduce(DataFrame.unionByName, [found_in(rows, total, queries, k, key, share) for rows, total in vectors.spaces(good)])
     # A candidate comes from several trees; a row repeated with one id counts once.
     order = W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.distinct().withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

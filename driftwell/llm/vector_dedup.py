@@ -11,14 +11,15 @@ to several tasks, so no task holds more than a bounded number of rows. No pair i
 and, for components, one edge per linked vector.
 
 Edge cases: vectors that are null, zero or hold null or non-finite components link with nothing, nor do rows with a null id
-(component null, kept) or an uncommon length; repeated rows are links of each other; an empty table gives no rows; other
-columns are ignored.
+(component null, kept); each length of vectors has cells of its own; repeated rows are links of each other; an empty table
+gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
 
 import sys
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -142,16 +143,9 @@ def compare(threshold: float):
     return run
 
 
-def near_duplicates(df: DataFrame, threshold: float = 0.95, key: str = "vec_id", vector: str = "embedding") -> DataFrame:
-    """key, n_links, component_id, kept: vectors link when their cosine is at least ``threshold``."""
-    for m in (kernels, vectors, sys.modules[__name__]):
-        ship(m)
-    spark = df.sparkSession
-    stash = Stash(spark, "vector_dedup")
-    print_ = lambda *c: F.when(F.col("vec").isNotNull(), F.xxhash64(*c))
-    rows = vectors.flagged(df, key, vector, stash).withColumn("h1", print_("vec")).withColumn("h2", print_(F.reverse("vec"), F.lit(1)))
-    distinct = stash.keep(rows.filter("vec is not null").groupBy("h1", "h2").agg(F.min("id").alias("id"), F.count("*").alias("n"), F.first("vec").alias("vec")), "distinct")
-    total = distinct.count()
+def links_in(distinct: DataFrame, total: int, threshold: float) -> DataFrame:
+    """a, b, links from the cells, for vectors of one length."""
+    spark = distinct.sparkSession
     many = int(np.clip(-(-total // CELL), 1, PIVOTS))
     pivots = distinct.orderBy(F.xxhash64("id"), "id").limit(many).select("vec").toArrow()
     own = Cells(vectors.matrix(pivots.column("vec")) if total else np.ones((1, 1)), threshold)
@@ -169,7 +163,20 @@ def near_duplicates(df: DataFrame, threshold: float = 0.95, key: str = "vec_id",
     cells, tasks = spark.sparkContext.broadcast(own), spark.sparkContext.broadcast(np.maximum(1, -(-guests // GUESTS)))
     kind = dict(distinct.dtypes)["vec"]
     dealt = distinct.select("id", "n", "vec").mapInArrow(deal(cells, tasks), f"cell long, task long, id long, n long, vec {kind}, home boolean")
-    found = stash.keep(dealt.groupBy("cell", "task").applyInPandas(compare(threshold), "a long, b long, links long"), "links")
+    return dealt.groupBy("cell", "task").applyInPandas(compare(threshold), "a long, b long, links long")
+
+
+def near_duplicates(df: DataFrame, threshold: float = 0.95, key: str = "vec_id", vector: str = "embedding") -> DataFrame:
+    """key, n_links, component_id, kept: vectors link when their cosine is at least ``threshold``."""
+    for m in (kernels, vectors, sys.modules[__name__]):
+        ship(m)
+    spark = df.sparkSession
+    stash = Stash(spark, "vector_dedup")
+    print_ = lambda *c: F.when(F.col("vec").isNotNull(), F.xxhash64(*c))
+    rows = vectors.flagged(df, key, vector, stash).withColumn("h1", print_("vec")).withColumn("h2", print_(F.reverse("vec"), F.lit(1)))
+    distinct = stash.keep(rows.filter("vec is not null").groupBy("h1", "h2").agg(F.min("id").alias("id"), F.count("*").alias("n"), F.first("vec").alias("vec")), "distinct")
+    found = reduce(DataFrame.unionByName, [links_in(part, total, threshold) for part, total in vectors.spaces(distinct)])
+    found = stash.keep(found, "links")
     linked = found.groupBy("a").agg(F.sum("links").alias("links"))
     joined = components(found.select("a", "b"), stash)
     classes = (

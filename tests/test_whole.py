@@ -7,6 +7,7 @@ import math
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 from driftwell import queries
 
@@ -96,3 +97,21 @@ def test_whole_private_keys_are_taken_out(spark):
     report = secrets.report(docs)
     found = con.execute(oracles.secret_scans())
     assert rows(report.columns, report.collect()) == rows([c[0] for c in found.description], found.fetchall())
+
+
+def test_vectors_of_every_length_take_part(spark):
+    """Two lengths in turn: links and neighbours are found within each, never across."""
+    from driftwell.llm import nearest, vector_dedup
+
+    unit = lambda dim, i: [1.0 if j == i else 0.01 * (i + 1) for j in range(dim)]
+    data = [(i, unit(6, i)) for i in range(6)] + [(10 + i, unit(6, i % 2)) for i in range(2)] + [(20 + i, unit(4, i)) for i in range(4)] + [(30, unit(4, 3)), (40, [2.0]), (41, [3.0])]
+    df = spark.createDataFrame(data, "vec_id long, embedding array<double>")
+    got = {r["vec_id"]: (r["n_links"], r["component_id"], r["kept"]) for r in vector_dedup.near_duplicates(df).collect()}
+    pairs = {0: 10, 10: 0, 1: 11, 11: 1, 23: 30, 30: 23, 40: 41, 41: 40}
+    assert got == {i: (int(i in pairs), min(i, pairs.get(i, i)), i <= pairs.get(i, i)) for i, _ in data}
+    near = {}
+    for r in nearest.nearest(df, F.col("vec_id") >= 0, k=20, share=1e9).collect():
+        near.setdefault(r["query_id"], {})[r["rank"]] = r["vec_id"]
+    size = {i: len(v) for i, v in data}
+    assert {i: set(v.values()) for i, v in near.items()} == {i: {j for j in size if size[j] == size[i] and j != i} for i in size}
+    assert all(near[i][1] == j for i, j in pairs.items())
