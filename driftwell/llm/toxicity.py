@@ -4,18 +4,20 @@ Features of a text: densities of a learned lexicon (words and word beginnings),
 person, and rates of capitals, punctuation and obfuscation (digits or marks inside words, repeated characters).
 
 The lexicon and the trees are fitted on a sample of at most ``SAMPLE`` labelled rows, those with the smallest hashes of
-their id; a fifth of the sample, not seen by the trees, fits the calibration. The model is a few kilobytes and is sent to
-all tasks; every text is scored whole.
+their id; a fifth of the sample, not seen by the trees, fits the calibration. Texts stay on the executors: word counts are
+summed there, and the driver gets at most ``LEXICON`` entries of a lexicon and one row of features for each sample row. The
+model is a few kilobytes and travels with the tasks; every text is scored whole.
 
 Edge cases: null and empty texts have zero features and get the score that the model gives to those; labels that are null
-or join no document are not used; without labels of both kinds all scores are 0; repeated rows get equal scores; other
-columns are ignored.
+or join no document are not used; an id with both labels counts as 1, an id with several texts stands for its smallest;
+without labels of both kinds all scores are 0; repeated rows get equal scores; other columns are ignored, but for one named
+like the score, which is replaced.
 """
 
 from __future__ import annotations
 
 import sys
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -23,20 +25,18 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import kernels
-from .common import ship
+from .common import Stash, ship
 from .kernels import BASE, chunks, mix, powers, words
 
-#: Most labelled rows that the model is fitted on, and most characters of them at once.
+#: Most labelled rows that the model is fitted on.
 SAMPLE = 12_000
 #: Entries of the lexicon, and in how many positive sample rows an entry must occur.
-LEXICON, SUPPORT, FIXED_ODDS = 4000, 4, 4.5
+LEXICON, SUPPORT = 4000, 4
 #: Length in bytes of the word beginnings that may enter the lexicon.
 STEMS = (4, 5, 6)
 TREES, DEPTH, RATE, BINS, LEAF = 60, 3, 0.2, 32, 8
 #: Second-person words of the languages that the tables hold.
 SECOND_PERSON = ("you", "your", "yours", "yourself", "ur", "u", "du", "dich", "dir", "dein", "deine", "ihr", "euch", "tu", "te", "toi", "ton", "ta", "tes", "vous", "votre", "vos", "tú", "usted", "ustedes", "ti", "tus")
-#: Insults that the lexicon holds whatever the sample says.
-INSULTS = ("ass", "bastard", "bitch", "clown", "coward", "creep", "disgusting", "dumb", "filth", "fool", "garbage", "hate", "idiot", "imbecile", "jerk", "liar", "loser", "moron", "pathetic", "pig", "scum", "shit", "stupid", "trash", "ugly", "vermin", "worthless")
 NEAR = 5
 FEATURES = ("words", "lexicon", "strong", "you", "near_you", "capitals", "shouting", "punctuation", "exclamation", "odd_inside", "repeats", "digits_inside")
 
@@ -78,30 +78,32 @@ def _in(sorted_: np.ndarray, x: np.ndarray) -> np.ndarray:
     return sorted_[np.minimum(np.searchsorted(sorted_, x), len(sorted_) - 1)] == x
 
 
-def fit_lexicon(column: pa.Array, label: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted hashes of words and beginnings that mark label 1, and their log odds."""
-    seen: list[list[np.ndarray]] = [[], []]
-    for row, raw, offsets in chunks(column):
-        hashes, stems, bounds, _ = word_keys(raw, offsets)
-        every = [hashes, *stems]
-        for i in range(len(offsets) - 1):
-            a, b = bounds[i], bounds[i + 1]
-            own = np.unique(np.concatenate([x[a:b] for x in every]))
-            seen[label[row + i]].append(own[own != 0])
-    count = [np.unique(np.concatenate(s), return_counts=True) if s else (np.zeros(0, np.uint64), np.zeros(0, int)) for s in seen]
-    keys, pos = count[1]
-    neg = np.zeros(len(keys))
-    if len(count[0][0]) and len(keys):
-        at = np.minimum(np.searchsorted(count[0][0], keys), len(count[0][0]) - 1)
-        neg = np.where(count[0][0][at] == keys, count[0][1][at], 0)
-    odds = np.log((pos + 0.5) / (len(seen[1]) + 1)) - np.log((neg + 0.5) / (len(seen[0]) + 1))
-    good = np.flatnonzero((pos >= SUPPORT) & (odds > 2.0))
-    # The best supported entries: those whose count in label 1 exceeds what label 0 would give by most.
-    gain = pos[good] * odds[good]
-    good = good[np.argsort(-gain, kind="stable")[:LEXICON]]
-    fixed = _known(INSULTS)
-    good = good[~_in(fixed, keys[good])]
-    keys, odds = np.concatenate([fixed, keys[good]]), np.concatenate([np.full(len(fixed), FIXED_ODDS), odds[good]])
+def count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """From (text, toxic, part): for each hash of a word or beginning, how many texts of each label and part hold it."""
+    for batch in batches:
+        cell = 2 * batch.column("part").to_numpy() + batch.column("toxic").to_numpy()
+        for row, raw, offsets in chunks(batch.column("text")):
+            hashes, stems, bounds, _ = word_keys(raw, offsets)
+            text = np.repeat(np.arange(len(offsets) - 1), np.diff(bounds))
+            keys, texts = np.concatenate([hashes, *stems]), np.tile(text, 1 + len(STEMS))
+            order = np.lexsort([texts, keys])
+            keys, texts = keys[order], texts[order]
+            new = (keys != 0) & np.append(True, (keys[1:] != keys[:-1]) | (texts[1:] != texts[:-1]))[: len(keys)]
+            keys, own = keys[new], cell[row + texts[new]]
+            first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])[: len(keys)])
+            counts = [np.add.reduceat((own == c).astype(np.int64), first) if len(first) else np.zeros(0, np.int64) for c in range(4)]
+            yield pa.RecordBatch.from_pydict({"h": pa.array(keys[first].view(np.int64)), **{f"c{c}": pa.array(n) for c, n in enumerate(counts)}})
+
+
+def lexicon(counts: DataFrame, pos: Column, neg: Column, toxic: int, clean: int) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted hashes of words and beginnings that mark label 1, and their log odds; ``LEXICON`` entries at most.
+
+    The best supported entries come first: those whose count in label 1 exceeds what label 0 would give by most.
+    """
+    odds = F.log((pos + 0.5) / F.lit(toxic + 1.0)) - F.log((neg + 0.5) / F.lit(clean + 1.0))
+    best = counts.select("h", pos.alias("pos"), odds.alias("odds")).filter((F.col("pos") >= SUPPORT) & (F.col("odds") > 2.0))
+    rows = best.orderBy(F.desc(F.col("pos") * F.col("odds")), "h").limit(LEXICON).select("h", "odds").toArrow()
+    keys, odds = rows.column("h").to_numpy().view(np.uint64), rows.column("odds").to_numpy()
     order = np.argsort(keys)
     return keys[order], odds[order]
 
@@ -208,37 +210,33 @@ def fit_isotonic(margin: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndar
     return xs, np.maximum.accumulate(ys)
 
 
-def fit(column: pa.Array, label: np.ndarray, ids: np.ndarray) -> dict | None:
-    if not len(label) or label.min() == label.max():
-        return None
-    held = mix(ids.astype(np.uint64)) % np.uint64(5) == 0
-    if held.all() or not held.any() or label[~held].min() == label[~held].max():
-        held = np.zeros(len(label), bool)
-    train = np.flatnonzero(~held)
-    # Lexicon features of the rows that chose the lexicon would look too good: two halves score each other.
-    half = mix(ids.astype(np.uint64) + np.uint64(7)) % np.uint64(2) == 0
-    x = np.zeros((len(label), len(FEATURES)))
-    for mine in (half, ~half):
-        own, other = train[mine[train]], train[~mine[train]]
-        if len(own) and len(other):
-            x[own] = features(column.take(pa.array(own)), fit_lexicon(column.take(pa.array(other)), label[other]))
-    lexicon = fit_lexicon(column.take(pa.array(train)), label[train])
-    model = fit_trees(x[train], label[train].astype(float)) | {"lexicon": lexicon}
-    rest = np.flatnonzero(held) if held.any() else train
-    model["isotonic"] = fit_isotonic(margins(model, features(column.take(pa.array(rest)), lexicon)), label[rest].astype(float))
-    return model
+def described(lexicons: list) -> Callable:
+    """From (k, toxic, part, text): the features under the lexicon that the row's part had no share in, and under the whole one."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            part, text = batch.column("part").to_numpy(), batch.column("text")
+            for i in range(0, batch.num_rows, 256):
+                some = text.slice(i, 256)
+                whole, own = features(some, lexicons[2]), np.zeros((len(some), len(FEATURES)))
+                for k in (0, 1):
+                    if len(at := np.flatnonzero(part[i : i + 256] == k)):
+                        own[at] = features(some.take(pa.array(at)), lexicons[1 - k])
+                lists = [pa.FixedSizeListArray.from_arrays(pa.array(x.ravel()), len(FEATURES)).cast(pa.list_(pa.float64())) for x in (own, whole)]
+                yield pa.RecordBatch.from_pydict({"k": batch.column("k").slice(i, 256), "toxic": batch.column("toxic").slice(i, 256), "part": batch.column("part").slice(i, 256), "own": lists[0], "whole": lists[1]})
+
+    return run
 
 
-def scored(model):
+def scored(model: dict | None, name: str) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = model.value
         for batch in batches:
-            if own is None:
+            if model is None:
                 score = np.zeros(batch.num_rows)
             else:
                 text = batch.column("text")
-                score = np.concatenate([np.interp(margins(own, features(text.slice(i, 256), own["lexicon"])), *own["isotonic"]) for i in range(0, len(text), 256)] or [np.zeros(0)])
-            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(batch.num_columns)), pa.array(score)], names=[*batch.schema.names, "score"])
+                score = np.concatenate([np.interp(margins(model, features(text.slice(i, 256), model["lexicon"])), *model["isotonic"]) for i in range(0, len(text), 256)] or [np.zeros(0)])
+            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(batch.num_columns)), pa.array(score)], names=[*batch.schema.names, name])
 
     return run
 
@@ -249,26 +247,45 @@ def fold(key: str) -> Column:
 
 
 def model_from(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", sample: int = SAMPLE) -> dict | None:
-    """Fitted on labelled rows whose fold is not 0."""
+    """Fitted on labelled rows whose fold is not 0. Only word counts and feature rows come to the driver."""
+    for m in (kernels, sys.modules[__name__]):
+        ship(m)
+    stash = Stash(docs.sparkSession, "toxicity")
     some = (
-        labels.filter(F.col("toxic").isin(0, 1) & (fold(key) != 0)).select(F.col(key).alias("k"), F.col("toxic").cast("int").alias("toxic")).dropDuplicates(["k"])
+        labels.filter(F.col("toxic").isin(0, 1) & (fold(key) != 0)).groupBy(F.col(key).alias("k")).agg(F.max("toxic").cast("long").alias("toxic"))
         .orderBy(F.xxhash64("k"), "k").limit(sample)
     )
-    rows = docs.select(F.col(key).alias("k"), F.col(text).alias("text")).join(F.broadcast(some), "k").dropDuplicates(["k"]).orderBy("k").toArrow()
-    column = rows.column("text").cast(pa.large_string()).combine_chunks() if rows.num_rows else pa.array([], pa.large_string())
-    if isinstance(column, pa.ChunkedArray):
-        column = pa.concat_arrays(column.chunks) if column.num_chunks else pa.array([], pa.large_string())
-    return fit(column, rows.column("toxic").to_numpy(), rows.column("k").to_numpy())
+    # Part 2 fits the calibration. Features of rows that chose the lexicon would look too good: parts 0 and 1 score each other.
+    part = F.when(F.pmod(F.xxhash64("k", F.lit(1)), F.lit(5)) == 0, 2).otherwise(F.pmod(F.xxhash64("k", F.lit(2)), F.lit(2))).cast("long")
+    texts = docs.select(F.col(key).alias("k"), F.col(text).alias("text")).join(F.broadcast(some), "k").groupBy("k", "toxic").agg(F.min("text").alias("text"))
+    rows = stash.keep(texts.select("k", "toxic", part.alias("part"), "text"), "sample")
+    n = {(r["part"], r["toxic"]): r["count"] for r in rows.groupBy("part", "toxic").count().collect()}
+    train = [(n.get((0, y), 0) + n.get((1, y), 0)) for y in (0, 1)]
+    if not all(train):
+        return None
+    counted = rows.filter("part < 2").select("text", "toxic", "part").mapInArrow(count_words, "h long, c0 long, c1 long, c2 long, c3 long")
+    counts = stash.keep(counted.groupBy("h").agg(*[F.sum(f"c{c}").alias(f"c{c}") for c in range(4)]).filter(f"c1 + c3 >= {SUPPORT}"), "counts")
+    c = [F.col(f"c{i}") for i in range(4)]
+    lexicons = [lexicon(counts, c[2 * p + 1], c[2 * p], n.get((p, 1), 0), n.get((p, 0), 0)) for p in (0, 1)] + [lexicon(counts, c[1] + c[3], c[0] + c[2], train[1], train[0])]
+    found = rows.mapInArrow(described(lexicons), "k long, toxic long, part long, own array<double>, whole array<double>").orderBy("k").toArrow()
+    stash.drop("sample", "counts")
+    y, part_of = found.column("toxic").to_numpy().astype(float), found.column("part").to_numpy()
+    own, whole = (found.column(c).combine_chunks().flatten().to_numpy().reshape(len(y), -1) for c in ("own", "whole"))
+    mine, rest = part_of < 2, part_of == 2
+    model = fit_trees(own[mine], y[mine]) | {"lexicon": lexicons[2]}
+    rest = rest if rest.any() else mine
+    model["isotonic"] = fit_isotonic(margins(model, whole[rest]), y[rest])
+    return model
 
 
-def score(docs: DataFrame, model: dict | None, text: str = "text") -> DataFrame:
-    """``docs`` with a column ``score``; all columns stay."""
+def score(docs: DataFrame, model: dict | None, text: str = "text", name: str = "score") -> DataFrame:
+    """``docs`` with a column ``name``; all columns stay but one of that name, which is replaced."""
     for m in (kernels, sys.modules[__name__]):
         ship(m)
-    held = docs.sparkSession.sparkContext.broadcast(model)
-    rest = [c for c in docs.columns if c != text]
-    schema = ", ".join([f"`{c}` {t}" for c, t in docs.select(*rest, F.col(text).alias("text")).dtypes] + ["score double"])
-    return docs.select(*rest, F.col(text).alias("text")).mapInArrow(scored(held), schema).withColumnRenamed("text", text)
+    rest = [c for c in docs.columns if c not in (text, name)]
+    source = docs.select(*rest, F.col(text).alias("text"))
+    schema = ", ".join([f"`{c}` {t}" for c, t in source.dtypes] + [f"`{name}` double"])
+    return source.mapInArrow(scored(model, name), schema).withColumnRenamed("text", text)
 
 
 def report(docs: DataFrame, labels: DataFrame) -> DataFrame:
