@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from driftwell.llm import jaccard, mixing, packing, secrets, toxicity
-from driftwell.llm.common import Stash
+from driftwell.llm.common import Stash, released
 from driftwell.llm.queries import tokenizer_path
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
@@ -28,7 +28,8 @@ ORACLE_SQL = None
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    return toxicity.score(docs, toxicity.model_from(docs, labels)).filter("score < 0.5").select(*COLUMNS)
+    scored = toxicity.score(docs.select(*COLUMNS), toxicity.model_from(docs, labels))
+    return scored.filter("score < 0.5").select(*COLUMNS)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -60,8 +61,11 @@ STAGES = [
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the whole table ``documents``."""
+    """All stages over the whole table ``documents``. A stage's intermediate tables go once its result is written."""
     stash, docs = Stash(spark, "pipeline"), spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for name, stage in STAGES[:-1]:
-        docs = stash.keep(stage(spark, docs, sf_dir), name)
+    for i, (name, stage) in enumerate(STAGES[:-1]):
+        with released(spark):
+            docs = stash.keep(stage(spark, docs, sf_dir), name)
+        if i:
+            stash.drop(STAGES[i - 1][0])
     return STAGES[-1][1](spark, docs, sf_dir)
