@@ -265,11 +265,12 @@ def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int =
     t = text_or_empty(text)
     source = docs.select(F.xxhash64(F.col(key), t).alias("key"), F.col(key).cast("long").alias("doc_id"), t.alias("text"))
     places = source.select("key", "text").filter(F.octet_length("text") >= width).mapInArrow(anchors(width), _ddl(ANCHOR))
-    often = places.groupBy("mh").agg(F.count("*").alias("n")).filter("n > 1").select("mh")
+    # Written, so that both sides of the join are plain exchanges, which adaptive execution can split where an anchor is hot.
+    often = stash.keep(places.groupBy("mh").agg(F.count("*").alias("n")).filter("n > 1").select("mh"), "often")
     found = stash.keep(places.join(often, "mh"), "found")
     equal = stash.keep(found.groupBy("mh", "ch").agg(F.count("*").alias("c"), F.min(F.struct("key", "a", "o", "nw")).alias("one")), "equal")
     whole = found.join(equal.filter("c > 1").select("mh", "ch"), ["mh", "ch"]).select("key", F.col("a").alias("s"), (F.col("a") + F.col("nw") - 1 + width).alias("e"))
-    mixed = equal.groupBy("mh").agg(F.count("*").cast("int").alias("d")).filter("d > 1")
+    mixed = stash.keep(equal.groupBy("mh").agg(F.count("*").cast("int").alias("d")).filter("d > 1"), "mixed")
     wanted = (
         equal.join(mixed, "mh")
         .select("one.key", F.struct("mh", "one.a", "one.o", "one.nw", "d", (F.col("c") > 1).alias("done")).alias("w"))
@@ -281,8 +282,7 @@ def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int =
     contexts = texts.mapInArrow(cut(width, crowd), _ddl(CONTEXT))
     partial = contexts.repartition("mh", "salt").sortWithinPartitions("mh", "salt", "key", "a").mapInArrow(repeats(width, block), _ddl(SPAN))
     spans = stash.keep(whole.unionByName(partial).groupBy("key").agg(F.collect_list(F.struct("s", "e")).alias("spans")), "spans")
-    stash.drop("found")
-    stash.drop("equal")
+    stash.drop("often", "found", "equal", "mixed")
     return source.join(spans, "key", "left").mapInArrow(remove, _ddl(KEPT)).drop("key").withColumnRenamed("doc_id", key)
 
 
