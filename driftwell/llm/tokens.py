@@ -2,7 +2,7 @@
 
 The ids are those of the given tokenizer definition: words do not influence each other, and a distinct word is merged by
 the definition's vocabulary once (its ids are merge ranks). Texts with characters outside the blocks whose classes are
-certain (``SAFE``) go through the tokenizers library whole.
+certain (``SAFE``), and texts that hold a control string of the definition, go through the tokenizers library whole.
 """
 
 from __future__ import annotations
@@ -98,7 +98,8 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(definition)
-        self.tokenizer.encode_special_tokens = True
+        #: Control strings of the definition, which have ids of their own wherever they stand in a text.
+        self.control = [t["content"] for t in json.loads(definition)["added_tokens"] if t["content"]]
         self.words = _merger(definition)
         self.classes = _classes()
         self.forget()
@@ -128,6 +129,10 @@ class Encoder:
         cp = np.frombuffer(text.encode("utf-32-le"), np.uint32)
         bounds = np.append(0, np.cumsum((raw & 0xC0) != 0x80, dtype=np.int32))[offsets]
         odd = np.flatnonzero((cp >= SAFE) & ((cp < PUNCTUATION[0]) | (cp >= PUNCTUATION[1])))
+        if any(c in text for c in self.control):
+            # Not one that reaches from one text into the next.
+            at = [i for i in range(len(offsets) - 1) if any(c in text[bounds[i] : bounds[i + 1]] for c in self.control)]
+            odd = np.append(odd, bounds[at].astype(np.int64)) if at else odd
         if len(odd):
             return self.mixed(raw, offsets, np.unique(np.searchsorted(bounds, odd, "right") - 1))
         starts = word_starts(cp, bounds, self.classes)
