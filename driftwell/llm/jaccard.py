@@ -1,23 +1,27 @@
 """N-gram Jaccard join through a token-group matrix.
 
 A document is the set of its distinct word shingles (64-bit hashes). Equal sets are collapsed first; one representative
-each goes on. Representatives are partitioned into groups of similar sets (equal bottom-2 sketches). The matrix holds a
-row (token, group) for the tokens in the members' prefixes, in one global order of tokens. Two sets with n tokens at most
-that reach the threshold share m of the first n - ceil(threshold * n) + m tokens; m is a fiftieth of n, or 1. Two groups
-are a candidate pair only if their rows overlap in as many tokens as their smallest members must share. The task that
-owns a group computes the union of its members' tokens, bounds each query's overlap with that union, and opens the group
-only for queries whose bound reaches the threshold. Members and queries are then compared exactly.
-
-Only connectivity is asked for, so sets of one component are not compared with each other once they are connected: every
-group first asks only the largest group it is paired with, and a second round takes the pairs that this left apart.
+each goes on. Representatives are partitioned into groups of similar sets (equal bottom-2 sketches), cut into blocks of
+about ``BLOCK``. The matrix stores, for each group, the union of its members' prefix tokens, as rows (token, group), in one
+global order of tokens. Two sets with n tokens at most that reach the threshold share m of the first
+n - ceil(threshold * n) + m tokens; m is a fiftieth of n, or 1. So a query's overlap with a group's stored union bounds what
+it can share with any member, and only groups whose bound suffices get the query's set and are opened: their members are
+compared exactly with each other and with the queries, and sets that cannot reach the threshold with the members' whole
+union are passed over.
+
+Only connectivity is asked for, so the matrix is searched in two ways. First in stars: for each token the groups that
+hold it ask its largest one, a number of pairs linear in the matrix; tokens in more than ``CROWD`` sets are dealt into
+parts, each a star of its own, whose largest groups meet in a second round. Groups that this connects are one unit from
+then on, and only tokens that several units hold remain. Then the exact part: pairs of units with enough common tokens,
+queries of the smaller unit bounded against the larger unit's groups one by one, and the groups that qualify opened.
 
 The global order puts frequent tokens last. Frequencies come from a pass over all documents and only steer the work: the
 table that is broadcast holds at most ``HOT`` tokens, and a token missing from it counts as rare. Results do not depend
 on it.
 
 Edge cases: null and empty texts, and texts of white space, have no shingles and link with nothing; rows with a null id
-take part in no link and are their own component (null); repeated rows are equal sets; an empty table gives no rows;
-other columns are ignored.
+take part in no link and are their own component (null); repeated rows are equal sets; rows of one id with several texts
+link what any of them links; an empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -39,7 +43,11 @@ from .kernels import mix, shingles
 #: Most tokens in the frequency table, and the count from which a token is worth an entry.
 HOT, HOT_FROM = 1 << 19, 12
 #: Members of a block, and queries of a task.
-BLOCK = 1000
+BLOCK = 128
+#: Sets that hold a token from which on its groups are dealt into several stars.
+CROWD = 4096
+#: Matrix rows and asking sets of a cell in which queries are bounded.
+ENTRIES, ASKERS = 1 << 15, 1 << 11
 #: A prefix is longer than needed to share one token by this part of the set, so that it must share as many.
 EXTRA = 50
 #: Tokens that the counting pass holds at once.
@@ -48,7 +56,8 @@ WINDOW = 1 << 21
 LIGHT = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("sig1", pa.int64()), ("sig2", pa.int64()), ("grp", pa.int64()), ("prefix", pa.list_(pa.int64()))])
 ROLE = pa.schema([("owner", pa.int64()), ("task", pa.int64()), ("query", pa.bool_()), ("doc_id", pa.int64()), ("tokens", pa.binary())])
 TOKEN = pa.schema([("tok", pa.int64()), ("n", pa.int64())])
-PAIR = pa.schema([("g1", pa.int64()), ("g2", pa.int64()), ("shared", pa.int64())])
+STAR = pa.schema([("tok", pa.int64()), ("grp", pa.int64()), ("centre", pa.int64())])
+PAIR = pa.schema([("u1", pa.int64()), ("u2", pa.int64())])
 
 
 def _ddl(schema: pa.Schema) -> str:
@@ -137,35 +146,88 @@ def sets_for_roles(size: int):
     return run
 
 
-def group_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (tok, grp) sorted by both: pairs of groups with the number of tokens that they share."""
-    last, groups = None, np.zeros(0, np.int64)
-
-    def paired(lists: dict[bytes, int]) -> Iterator[pa.RecordBatch]:
-        for key, n in lists.items():
-            g = np.frombuffer(key, np.int64)
-            for i in range(len(g) - 1):
-                many = len(g) - 1 - i
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(many, g[i])), pa.array(g[i + 1 :]), pa.array(np.full(many, n))], schema=PAIR)
-
+def stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (tok, part, many, grp) sorted by tok and part, the centre of each star first: all but lone groups, with their centre."""
+    last: tuple | None = None
     for batch in batches:
-        tok, grp = batch.column("tok").to_numpy(), batch.column("grp").to_numpy()
-        if not len(tok):
+        if not batch.num_rows:
             continue
-        if last is not None:
-            tok, grp = np.concatenate([np.full(len(groups), last), tok]), np.concatenate([groups, grp])
-        edge = np.flatnonzero(np.append(True, tok[1:] != tok[:-1]))
-        last, groups = tok[-1], np.unique(grp[edge[-1] :])
-        # Tokens of similar sets lie in the same groups; equal lists are paired once.
-        lists: dict[bytes, int] = {}
-        for i in np.flatnonzero(np.diff(edge) > 1):
-            g = np.unique(grp[edge[i] : edge[i + 1]])
-            if len(g) > 1:
-                key = g.tobytes()
-                lists[key] = lists.get(key, 0) + 1
-        yield from paired(lists)
-    if last is not None and len(groups) > 1:
-        yield from paired({groups.tobytes(): 1})
+        tok, part, grp = (batch.column(c).to_numpy() for c in ("tok", "part", "grp"))
+        new = np.append(last is None or last[:2] != (tok[0], part[0]), (tok[1:] != tok[:-1]) | (part[1:] != part[:-1]))
+        at = np.maximum.accumulate(np.where(new, np.arange(len(tok)), -1))
+        centre = np.where(at < 0, last[2] if last else 0, grp[at])
+        last = (tok[-1], part[-1], centre[-1])
+        keep = (grp != centre) | (batch.column("many").to_numpy() > 1)
+        yield pa.RecordBatch.from_arrays([pa.array(tok[keep]), pa.array(grp[keep]), pa.array(centre[keep])], schema=STAR)
+
+
+def unit_pairs(percent: int):
+    """Rows (tok, lo, hi, unit) sorted by tok: the pairs of units that hold a token and whose sets can be similar by size."""
+
+    def paired(rows: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        _, unit, lo, hi = rows
+        fit = (percent * lo[i] <= 100 * hi[j]) & (percent * lo[j] <= 100 * hi[i])
+        u, v = unit[i[fit]], unit[j[fit]]
+        return np.stack([np.minimum(u, v), np.maximum(u, v)])
+
+    def batch_of(pairs: list[np.ndarray]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(x) for x in np.concatenate(pairs, axis=1)], schema=PAIR)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = np.zeros((4, 0), np.int64)
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            held = np.concatenate([held, np.stack([batch.column(c).to_numpy() for c in ("tok", "unit", "lo", "hi")])], axis=1)
+            edge = np.flatnonzero(np.append(True, held[0, 1:] != held[0, :-1]))
+            yield from emitted(held, edge)
+            held = held[:, edge[-1] :]
+        if held.shape[1]:
+            yield from emitted(held, np.array([0, held.shape[1]]))
+
+    def emitted(held: np.ndarray, edge: np.ndarray) -> Iterator[pa.RecordBatch]:
+        """Pairs inside each run of one token between neighbouring edges."""
+        many = np.diff(edge)
+        two = edge[:-1][many == 2]
+        out, size = [paired(held, two, two + 1)], len(two)
+        for k in np.flatnonzero(many > 2):
+            a, b = edge[k], edge[k + 1]
+            for i in range(a, b - 1):
+                out.append(paired(held, np.full(b - 1 - i, i), np.arange(i + 1, b)))
+                size += b - 1 - i
+                if size > 1 << 17:
+                    yield batch_of(out)
+                    out, size = [], 0
+        if out:
+            yield batch_of(out)
+
+    return run
+
+
+def qualifying(percent: int):
+    """From sets (unit, rep, n, component, prefix) and rows (unit, tok, grp, whole, one, lo, hi) of stored unions: the groups to open for each set."""
+
+    def run(sets: pd.DataFrame, rows: pd.DataFrame) -> pd.DataFrame:
+        owner, doc = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        of_unit = lambda tok, unit: mix(tok.view(np.uint64) + np.asarray(unit, np.int64).view(np.uint64) * kernels.BASE)
+        tok = of_unit(rows["tok"].to_numpy(), rows["unit"].to_numpy())
+        order = np.argsort(tok)
+        tok, rows = tok[order], rows.iloc[order]
+        groups, first, own = np.unique(rows["grp"].to_numpy(), return_index=True, return_inverse=True)
+        lo, hi, one, whole = (rows[c].to_numpy()[first] for c in ("lo", "hi", "one", "whole"))
+        need = overlap(lo, percent)
+        for unit, rep, n, component, prefix in zip(sets["unit"], sets["rep"], sets["n"], sets["component"], sets["prefix"], strict=True):
+            p = of_unit(np.unique(prefix), [unit])
+            a, b = np.searchsorted(tok, p, "left"), np.searchsorted(tok, p, "right")
+            size = b - a
+            at = np.repeat(a - np.append(0, size.cumsum()[:-1]), size) + np.arange(size.sum())
+            shared = np.bincount(own[at], minlength=len(groups))
+            hit = (shared >= np.minimum(need, overlap(n, percent))) & (lo * percent <= 100 * n) & (n * percent <= 100 * hi) & ~(whole & (one == component))
+            owner.append(groups[hit])
+            doc.append(np.full(int(hit.sum()), rep))
+        return pd.DataFrame({"owner": np.concatenate(owner), "doc_id": np.concatenate(doc)})
+
+    return run
 
 
 def similar(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
@@ -222,7 +284,7 @@ def link(sets: list[np.ndarray], percent: int) -> np.ndarray:
 
 def open_group(percent: int):
     def run(frame: pd.DataFrame) -> pd.DataFrame:
-        frame = frame.sort_values(["query", "doc_id"], kind="stable").drop_duplicates("doc_id")
+        frame = frame.sort_values(["query", "doc_id"], kind="stable").drop_duplicates(["doc_id", "tokens"])
         sets = [np.frombuffer(t, np.uint64) for t in frame["tokens"]]
         ids, query = frame["doc_id"].to_numpy(), frame["query"].to_numpy()
         members = [s for s, q in zip(sets, query, strict=True) if not q]
@@ -236,7 +298,7 @@ def open_group(percent: int):
         ]
         roots = link([sets[i] for i in keep], percent)
         ids = ids[keep]
-        far = roots != np.arange(len(roots))
+        far = ids != ids[roots]
         return pd.DataFrame({"a": ids[far], "b": ids[roots[far]]})
 
     return run
@@ -255,29 +317,15 @@ def jaccard_components(docs: DataFrame, size: int = 4, percent: int = 85, key: s
     order = np.argsort(toks)
     table = spark.sparkContext.broadcast((toks[order], freq[order]))
     light = stash.keep(source.mapInArrow(sketch(size, percent, table), _ddl(LIGHT)), "light")
+    table.destroy()
     sets = light.filter("n > 0 and doc_id is not null")
-    reps = stash.keep(
-        sets.groupBy("sig1", "sig2", "n").agg(F.min("doc_id").alias("rep"), F.first("grp").alias("grp")), "reps"
-    )
+    reps = stash.keep(sets.groupBy("sig1", "sig2", "n").agg(F.min("doc_id").alias("rep"), F.first("grp").alias("grp")), "reps")
     # Groups are cut into blocks of at most about BLOCK members; blocks of one group meet again through their tokens.
     large = reps.groupBy("grp").agg(F.count("*").alias("m")).filter(F.col("m") > BLOCK)
     part = F.pmod(F.xxhash64("rep"), F.ceil(F.col("m") / BLOCK))
-    members = stash.keep(
-        reps.join(large, "grp", "left").select("rep", "n", F.when(F.col("m").isNull(), F.col("grp")).otherwise(F.xxhash64("grp", part)).alias("grp")), "members"
-    )
-    matrix = light.select("doc_id", "prefix").join(members, F.col("doc_id") == F.col("rep")).select("grp", F.explode("prefix").alias("tok"))
-    pairs = matrix.repartition("tok").sortWithinPartitions("tok", "grp").mapInArrow(group_pairs, _ddl(PAIR)).groupBy("g1", "g2").agg(F.sum("shared").alias("shared"))
-    sizes = members.groupBy("grp").agg(F.count("*").alias("m"), F.min("n").alias("lo"), F.max("n").alias("hi"))
-    sized = pairs.join(sizes.select(*[F.col(c).alias(f"{c}1" if c != "grp" else "g1") for c in sizes.columns]), "g1").join(
-        sizes.select(*[F.col(c).alias(f"{c}2" if c != "grp" else "g2") for c in sizes.columns]), "g2"
-    )
-    least = lambda n: F.least(1 + F.floor(n / EXTRA), F.ceil(n * percent / 100))  # noqa: E731  as overlap()
-    enough = F.col("shared") >= F.least(least(F.col("lo1")), least(F.col("lo2")))
-    near = enough & (F.col("lo1") * percent <= F.col("hi2") * 100) & (F.col("lo2") * percent <= F.col("hi1") * 100)
-    # The smaller block's members are the queries, the larger block is opened.
-    first = F.struct("m1", "g1") < F.struct(F.col("m2").alias("m1"), F.col("g2").alias("g1"))
-    pick = lambda x, y: F.when(first, F.col(x)).otherwise(F.col(y))
-    directed = stash.keep(sized.filter(near).select(pick("g1", "g2").alias("asks"), pick("g2", "g1").alias("owner"), pick("m2", "m1").alias("m")), "pairs")
+    members = stash.keep(reps.join(large, "grp", "left").select("rep", "n", F.when(F.col("m").isNull(), F.col("grp")).otherwise(F.xxhash64("grp", part)).alias("grp")), "members")
+    groups = stash.keep(members.groupBy("grp").agg(F.count("*").alias("m"), F.min("n").alias("lo"), F.max("n").alias("hi")), "groups")
+
     def opened(queries: DataFrame, owners: DataFrame) -> DataFrame:
         """Edges from opening ``owners`` (owner) for ``queries`` (owner, doc_id); an owner's queries are dealt to several tasks."""
         load = owners.join(queries.groupBy("owner").agg(F.ceil(F.count("*") / BLOCK).alias("tasks")), "owner", "left").select("owner", F.coalesce("tasks", F.lit(1)).alias("tasks"))
@@ -289,20 +337,70 @@ def jaccard_components(docs: DataFrame, size: int = 4, percent: int = 85, key: s
         sets = source.join(roles, "doc_id").mapInArrow(sets_for_roles(size), _ddl(ROLE))
         return sets.groupBy("owner", "task").applyInPandas(open_group(percent), "a long, b long")
 
-    # First every block asks the largest block it is paired with; most sets are connected by that.
-    best = directed.groupBy("asks").agg(F.max(F.struct("m", "owner")).alias("best")).select("asks", "best.owner")
+    def centred(rows: DataFrame) -> DataFrame:
+        """tok, grp, centre from (tok, part, many, m, grp): stars around the largest group of each token's part."""
+        return rows.repartition("tok", "part").sortWithinPartitions("tok", "part", F.desc("m"), "grp").mapInArrow(stars, _ddl(STAR))
+
+    def asking(rows: DataFrame) -> DataFrame:
+        """owner, asks: each group asks the centre with which it shares most tokens, if their sizes allow for similar sets."""
+        shared = rows.filter("grp <> centre").groupBy("grp", "centre").agg(F.count("*").alias("shared"))
+        sized = shared.join(groups.select("grp", "lo", "hi"), "grp").join(groups.select(F.col("grp").alias("centre"), "m", F.col("lo").alias("lo2"), F.col("hi").alias("hi2")), "centre")
+        fit = (F.col("lo") * percent <= F.col("hi2") * 100) & (F.col("lo2") * percent <= F.col("hi") * 100)
+        return sized.filter(fit).groupBy("grp").agg(F.max(F.struct("shared", "m", "centre")).alias("best")).select(F.col("best.centre").alias("owner"), F.col("grp").alias("asks"))
+
+    def joined(edges: DataFrame) -> DataFrame:
+        return members.join(edges, members["rep"] == edges["node"], "left").select("grp", "rep", "n", F.coalesce("component", "rep").alias("component"))
+
+    def units() -> DataFrame:
+        """grp, one, unit: groups whose members are connected are one unit with all such groups of their component."""
+        least, most = F.min("component"), F.max("component")
+        return placed.groupBy("grp").agg(F.when(least == most, least).alias("one")).withColumn("unit", F.when(F.col("one").isNotNull(), F.xxhash64("one")).otherwise(F.xxhash64("grp", F.lit(1))))
+
+    many = F.ceil(F.col("count") / CROWD)
+    crowded = spark.createDataFrame([(int(t), int(n)) for t, n in zip(toks.view(np.int64)[freq > CROWD], freq[freq > CROWD], strict=True)], "tok long, count long").select("tok", many.alias("many"))
+    in_parts = lambda rows, grp: rows.join(F.broadcast(crowded), "tok", "left").withColumn("many", F.coalesce("many", F.lit(1))).withColumn("part", F.pmod(F.xxhash64(grp), "many"))
+    listed = light.select("doc_id", "prefix").join(members, F.col("doc_id") == F.col("rep")).join(groups.select("grp", "m"), "grp").select("grp", "m", F.explode("prefix").alias("tok"))
+    star = stash.keep(centred(in_parts(listed, "grp")), "star")
+    matrix = star.select("tok", "grp").union(star.select("tok", F.col("centre").alias("grp"))).distinct()
+    best = stash.keep(asking(star), "best")
     queries = members.join(best, members["grp"] == best["asks"]).select("owner", F.col("rep").alias("doc_id"))
-    owners = sizes.filter("m > 1").select(F.col("grp").alias("owner")).union(best.select("owner")).distinct()
-    edges = components(opened(queries, owners), stash, "first")
-    # Then the remaining pairs, without sets that are connected to all of the owner's already.
-    placed = members.join(edges, members["rep"] == edges["node"], "left").select("grp", "rep", F.coalesce("component", "rep").alias("component"))
-    whole = placed.groupBy("grp").agg(F.min("component").alias("least"), F.max("component").alias("most")).filter("least = most").select(F.col("grp").alias("owner"), F.col("least").alias("one"))
-    rest = directed.join(best, ["asks", "owner"], "left_anti")
-    queries = (
-        placed.join(rest, placed["grp"] == rest["asks"]).join(whole, "owner", "left").filter("one is null or one <> component").select("owner", F.col("rep").alias("doc_id"))
-    )
-    queries = stash.keep(queries, "queries")
-    more = opened(queries, queries.select("owner").distinct())
+    owners = groups.filter("m > 1").select(F.col("grp").alias("owner")).union(best.select("owner")).distinct()
+    edges = components(stash.keep(opened(queries, owners), "first_links"), stash, "first")
+    placed = stash.keep(joined(edges), "placed")
+    if (freq > CROWD).any():
+        # The parts of crowded tokens meet: of each unit the largest group.
+        tops = matrix.join(F.broadcast(crowded), "tok").join(units(), "grp").join(groups.select("grp", "m"), "grp").groupBy("tok", "unit").agg(F.max(F.struct("m", "grp")).alias("top"))
+        again = stash.keep(asking(centred(tops.select("tok", F.lit(0).alias("part"), F.lit(1).alias("many"), "top.m", "top.grp"))), "best_again")
+        more = opened(members.join(again, members["grp"] == again["asks"]).select("owner", F.col("rep").alias("doc_id")), again.select("owner").distinct())
+        edges = components(edges.select(F.col("node").alias("a"), F.col("component").alias("b")).union(more), stash, "again")
+        placed = stash.keep(joined(edges), "placed_again")
+
+    # The exact part: tokens that several units hold.
+    named = stash.keep(units().join(groups, "grp"), "units")
+    entries = matrix.join(named.select("grp", "unit", F.col("one").isNotNull().alias("whole"), F.coalesce("one", F.lit(0)).alias("one"), "lo", "hi"), "grp")
+    several = entries.groupBy("tok").agg(F.min("unit").alias("u"), F.max("unit").alias("v")).filter("u <> v").select("tok")
+    rest = stash.keep(entries.join(several, "tok"), "rest")
+    sizes = named.groupBy("unit").agg(F.sum("m").alias("m"), F.min("lo").alias("lo"), F.max("hi").alias("hi"))
+    held = rest.select("tok", "unit").distinct().join(sizes, "unit").repartition("tok").sortWithinPartitions("tok", "unit")
+    pairs = held.select("tok", "unit", "lo", "hi").mapInArrow(unit_pairs(percent), _ddl(PAIR)).groupBy("u1", "u2").agg(F.count("*").alias("shared"))
+    both = pairs.join(sizes.select(F.col("unit").alias("u1"), F.col("m").alias("m1"), F.col("lo").alias("lo1")), "u1").join(sizes.select(F.col("unit").alias("u2"), F.col("m").alias("m2"), F.col("lo").alias("lo2")), "u2")
+    need = lambda n: F.least(1 + F.floor(n / EXTRA), F.ceil(n * percent / 100))  # noqa: E731  as overlap()
+    first = F.col("m1") <= F.col("m2")
+    pick = lambda x, y: F.when(first, F.col(x)).otherwise(F.col(y))
+    directed = both.filter(F.col("shared") >= need(F.least("lo1", "lo2"))).select(pick("u1", "u2").alias("asks"), pick("u2", "u1").alias("unit"))
+    # Each set of the asking unit against the stored unions of the other unit's groups, in cells of bounded size.
+    askers = stash.keep(placed.join(named.select("grp", F.col("unit").alias("asks")), "grp").join(directed, "asks").select("rep", "n", "component", "unit"), "askers")
+    loads = rest.groupBy("unit").agg(F.ceil(F.count("*") / ENTRIES).alias("parts")).join(askers.groupBy("unit").agg(F.ceil(F.count("*") / ASKERS).alias("tasks")), "unit")
+    # Small units share cells.
+    shared_cells = max(1, rest.count() // ENTRIES * 8)
+    cells = stash.keep(loads.withColumn("cell", F.when((F.col("parts") == 1) & (F.col("tasks") == 1), F.pmod(F.xxhash64("unit"), F.lit(shared_cells))).otherwise(F.col("unit"))), "cells")
+    several_of = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
+    sets = light.select("doc_id", "prefix").join(askers, F.col("doc_id") == F.col("rep")).join(cells, "unit")
+    sets = sets.select("cell", several_of("parts").alias("part"), F.pmod(F.xxhash64("rep"), "tasks").alias("task"), "unit", "rep", "n", "component", "prefix")
+    rows = rest.join(cells, "unit").select(F.col("cell").alias("cell_"), F.pmod(F.xxhash64("grp"), "parts").alias("part"), several_of("tasks").alias("task"), "unit", "tok", "grp", "whole", "one", "lo", "hi")
+    cell = ["cell", "part", "task"]
+    queries = stash.keep(sets.groupBy(*cell).cogroup(rows.groupBy("cell_", "part", "task")).applyInPandas(qualifying(percent), "owner long, doc_id long"), "queries")
+    more = stash.keep(opened(queries, queries.select("owner").distinct()), "more_links")
     found = components(edges.select(F.col("node").alias("a"), F.col("component").alias("b")).union(more), stash, "second")
     by_rep = reps.join(found, reps["rep"] == found["node"], "left").select("sig1", "sig2", "n", F.coalesce("component", "rep").alias("component"))
     by_set = light.select("doc_id", "n", "sig1", "sig2").join(by_rep, ["sig1", "sig2", "n"], "left")
