@@ -1,8 +1,9 @@
 """Secret scans through a trigram inverted index, with Spark expressions only.
 
 For each rule a Boolean query over trigrams is derived from its regular expression. The index holds one posting for each
-document and each trigram that some query names (a fixed vocabulary, whatever the table's size). Postings are intersected
-per rule, and only the documents that remain are searched with the expression itself. Rules without mandatory trigrams
+document and each trigram that some query names (a fixed vocabulary, whatever the table's size). The postings of each
+alternative of a query are intersected, and only the documents that remain are searched with the expression itself; a
+trigram that most documents hold is no hot key, as the intersection is grouped by document. Rules without mandatory trigrams
 scan all documents.
 
 Matches are found leftmost and without overlaps per rule; a match whose group is too short is dropped after it was found,
@@ -20,7 +21,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_or_empty
+from .common import Stash, text_or_empty
 from .trigrams import derive
 
 
@@ -86,22 +87,30 @@ def index(keyed: DataFrame, rules: tuple[Rule, ...] = RULES) -> tuple[DataFrame,
 
 
 def candidates(postings: DataFrame, grams: list[str], rules: tuple[Rule, ...] = RULES) -> DataFrame:
-    """key, th, rules: for each document with any rule's trigrams, the positions of those rules."""
+    """key, th, rules: for each document with any rule's trigrams, the positions of those rules.
+
+    The postings of an alternative's trigrams are intersected by collecting one bit for each trigram.
+    """
     place = {g: i for i, g in enumerate(grams)}
-    held = postings.groupBy("key", "th").agg(F.collect_set("gram").alias("grams"))
-    names = lambda x: reduce(lambda a, b: a & b, (F.array_contains("grams", place[g]) for g in sorted(x)))
-    hits = [
-        F.when(reduce(lambda a, b: a | b, map(names, sorted(query, key=sorted))), F.lit(i))
+    rows = [
+        (place[g], i, alt, 1 << bit, (1 << len(part)) - 1)
         for i, rule in enumerate(rules)
-        if (query := derive(rule.pattern)) is not None
+        for alt, part in enumerate(sorted(map(sorted, derive(rule.pattern) or ())))
+        for bit, g in enumerate(part)
     ]
-    return held.select("key", "th", F.array_compact(F.array(*hits)).alias("rules")).filter(F.size("rules") > 0)
+    values = ", ".join(f"({g}, {i}, {alt}, {bit}L, {every}L)" for g, i, alt, bit, every in rows)
+    wanted = postings.sparkSession.sql(f"SELECT * FROM VALUES {values} AS wanted(gram, rule, alt, bit, every)")
+    met = postings.join(F.broadcast(wanted), "gram").groupBy("key", "th", "rule", "alt", "every").agg(F.bit_or("bit").alias("bits")).filter("bits = every")
+    return met.groupBy("key", "th").agg(F.collect_set("rule").alias("rules"))
 
 
 def scan(docs: DataFrame, key: str = "doc_id", text: str = "text", rules: tuple[Rule, ...] = RULES, keep: tuple[str, ...] = ()) -> DataFrame:
     """key, the columns in ``keep``, spans: array of (start, kind, end) by start, then by the rules' order."""
     keyed = docs.select(F.col(key).alias("key"), text_or_empty(text).alias("text"), F.xxhash64(text_or_empty(text)).alias("th"), F.struct(*[F.col(c) for c in keep], F.lit(0)).alias("kept"))
-    found = candidates(*index(keyed, rules), rules).alias("c")
+    # Written, so that the join is planned by the candidates' true size: few are broadcast, and no text is shuffled.
+    stash = Stash(docs.sparkSession, "secrets")
+    postings, grams = index(keyed, rules)
+    found = stash.keep(candidates(stash.keep(postings, "postings"), grams, rules), "candidates").alias("c")
     joined = keyed.alias("d").join(found, F.col("d.key").eqNullSafe(F.col("c.key")) & (F.col("d.th") == F.col("c.th")), "left").select(
         "d.key", "d.text", "d.kept", "c.rules"
     )
