@@ -21,7 +21,7 @@ from .kernels import BASE, chunks, mix, powers
 #: Code points below this, and those of general punctuation, have classes that no Unicode version changes.
 SAFE, PUNCTUATION = 0x0530, (0x2000, 0x2070)
 #: Words that one worker remembers before it starts anew.
-REMEMBER = 1 << 20
+REMEMBER = 1 << 19
 LETTER, NUMBER, SPACE, OTHER = 1, 2, 3, 4
 #: What may follow an apostrophe as a word of its own.
 ONE, TWO = "stmd", ("re", "ve", "ll")
@@ -92,12 +92,10 @@ def _merger(definition: str):
 
 
 class Encoder:
-    """Ids of runs of texts, with a memory of words."""
+    """Ids of runs of texts, with a memory of words: sorted hashes and places in one array of ids, some 40 bytes a word."""
 
     def __init__(self, definition: str) -> None:
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_str(definition)
+        self.definition, self.tokenizer = definition, None
         #: Control strings of the definition, which have ids of their own wherever they stand in a text.
         self.control = [t["content"] for t in json.loads(definition)["added_tokens"] if t["content"]]
         self.words = _merger(definition)
@@ -105,11 +103,12 @@ class Encoder:
         self.forget()
 
     def forget(self) -> None:
-        self.known: dict[int, int] = {}
+        self.names, self.places = np.zeros(0, np.uint64), np.zeros(0, np.int64)
         self.ids, self.first, self.used, self.size = np.zeros(1 << 16, np.uint32), np.zeros(1 << 16, np.int64), 0, 0
 
-    def learn(self, hashes: list[int], texts: list[str]) -> None:
-        for h, text in zip(hashes, texts, strict=True):
+    def learn(self, hashes: np.ndarray, texts: list[str]) -> None:
+        """``hashes``: sorted, none of them known."""
+        for text in texts:
             ids = self.words(text)
             while self.used + len(ids) > len(self.ids):
                 self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
@@ -117,9 +116,19 @@ class Encoder:
                 self.first = np.concatenate([self.first, np.zeros_like(self.first)])
             self.ids[self.used : self.used + len(ids)] = ids
             self.used += len(ids)
-            self.known[h] = self.size
             self.size += 1
             self.first[self.size] = self.used
+        at = np.searchsorted(self.names, hashes)
+        self.places = np.insert(self.places, at, np.arange(self.size - len(texts), self.size))
+        self.names = np.insert(self.names, at, hashes)
+
+    def whole(self, text: str) -> np.ndarray:
+        """Ids of one text by the tokenizers library, which is loaded when a text first needs it."""
+        if self.tokenizer is None:
+            from tokenizers import Tokenizer
+
+            self.tokenizer = Tokenizer.from_str(self.definition)
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
 
     def encode(self, raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(ids, offsets of each text's ids)."""
@@ -142,10 +151,11 @@ class Encoder:
         distinct, at, which = np.unique(hashes, return_index=True, return_inverse=True)
         if self.size + len(distinct) > REMEMBER:
             self.forget()
-        names = distinct.tolist()
-        new = [i for i, h in enumerate(names) if h not in self.known]
-        self.learn([names[i] for i in new], [text[s : s + k] for s, k in zip(starts[at[new]].tolist(), lengths[at[new]].tolist(), strict=True)])
-        place = np.array([self.known[h] for h in names], np.int64)[which]
+        at_known = np.minimum(np.searchsorted(self.names, distinct), max(len(self.names) - 1, 0))
+        new = np.flatnonzero(self.names[at_known] != distinct) if len(self.names) else np.arange(len(distinct))
+        if len(new):
+            self.learn(distinct[new], [text[s : s + k] for s, k in zip(starts[at[new]].tolist(), lengths[at[new]].tolist(), strict=True)])
+        place = self.places[np.searchsorted(self.names, distinct)][which]
         count = self.first[place + 1] - self.first[place]
         total = np.append(0, count.cumsum())
         ids = self.ids[np.repeat(self.first[place] - total[:-1], count) + np.arange(total[-1])]
@@ -157,7 +167,7 @@ class Encoder:
         for i in range(len(offsets) - 1):
             own = raw[offsets[i] : offsets[i + 1]]
             if is_odd[i]:
-                parts.append(np.array(self.tokenizer.encode(own.tobytes().decode(), add_special_tokens=False).ids, np.uint32))
+                parts.append(self.whole(own.tobytes().decode()))
             else:
                 parts.append(self.encode(own, np.array([0, len(own)]))[0])
         return np.concatenate(parts), np.append(0, np.cumsum([len(p) for p in parts]))
