@@ -32,7 +32,7 @@ def strings_distance(t: Tables) -> DataFrame:
 
 
 @query("""SELECT doc_id, regexp_replace(text, '[\\x00-\\x1f]', ' ', 'g') AS flat, regexp_replace(regexp_replace(text, '^[\\x00-\\x20]+', ''), '[\\x00-\\x20]+$', '') AS bare,
-  least(coalesce(nullif(instr(text, 'the'), 0), 1000000), coalesce(nullif(instr(text, 'que'), 0), 1000000)) - 1 AS first FROM documents WHERE contains(text, 'the') OR contains(text, 'que')""")
+  coalesce(least(nullif(instr(text, 'the'), 0), nullif(instr(text, 'que'), 0)), 0) - 1 AS first FROM documents""")
 def strings_clean(t: Tables) -> DataFrame:
     x = F.col("text")
     return t.documents.select("doc_id", strings.remove_control(x).alias("flat"), strings.trim_all(x).alias("bare"), strings.find_first(x, ["the", "que"]).alias("first"))
@@ -137,7 +137,7 @@ def stats_confidence(t: Tables) -> DataFrame:
 
 
 @query("""SELECT event_id, (date_trunc('day', ts) - INTERVAL 1 DAY * dayofweek(ts))::TIMESTAMP AS week, date_trunc('month', ts)::TIMESTAMP AS month, (ts + INTERVAL 3 MONTH)::TIMESTAMP AS later, round((epoch_us(ts) - 1702080000000000) / 86400000000.0, 6) AS days,
-  epoch_ms(ts) AS ms, strftime(ts, '%Y%m') AS name, day(last_day(ts))::INT AS length, (ts - INTERVAL 5 HOUR)::TIMESTAMP AS east FROM events""")
+  epoch_us(ts) // 1000 AS ms, strftime(ts, '%Y%m') AS name, day(last_day(ts))::INT AS length, (ts - INTERVAL 5 HOUR)::TIMESTAMP AS east FROM events""")
 def times_floor_and_add(t: Tables) -> DataFrame:
     v = F.col("ts").cast("timestamp")
     e = t.events

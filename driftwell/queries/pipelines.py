@@ -115,7 +115,7 @@ def stored_alerts(t: Tables) -> DataFrame:
 
 
 ALERTS = """(SELECT o_orderkey AS k, o_orderkey::VARCHAR AS tdad_id, 'r' || o_custkey % 40 AS revision, (o_orderkey % 97 + 1) / 100.0 AS confidence, o_orderpriority AS test,
-  CASE WHEN o_orderstatus = 'P' THEN 'obsolete' ELSE 'new' END AS status, o_orderkey % 60 AS age, o_orderkey % 30 = 0 AS sent, o_orderkey % 70 = 0 AS solved FROM orders WHERE o_orderkey % 10 = 0)"""
+  CASE WHEN o_orderstatus = 'P' THEN 'obsolete' ELSE 'new' END AS status, o_orderkey % 60 AS age, o_orderkey % 30 = 0 AS sent, o_orderkey % 70 = 0 AS solved FROM orders)"""
 
 
 @query(f"""SELECT tdad_id, CASE WHEN solved OR (k % 20 <> 0 AND status = 'obsolete') THEN 'none' WHEN k % 20 <> 0 THEN 'obsolete' WHEN status = 'obsolete' THEN 'revived' ELSE 'none' END AS change FROM {ALERTS}
