@@ -41,18 +41,15 @@ def global_chunks(df: DataFrame, size: int, order: str, ranges: int = 64, out: s
 
 
 def pack_groups(counts: list[tuple], low: int, high: int) -> list[list]:
-    """Greedy groups of counted keys, in the order given: a group closes once it holds ``low``, and never exceeds ``high``
-    unless one key alone does."""
+    """Greedy groups of counted keys, in the order given: a group takes the next key while it holds less than ``low`` or stays
+    under ``high`` with it. A key that reaches ``high`` alone is a group all the same."""
     out, now, held = [], [], 0
     for key, n in counts:
-        if now and held + n > high:
+        if now and held >= low and held + n >= high:
             out.append(now)
             now, held = [], 0
         now.append(key)
         held += n
-        if held >= low:
-            out.append(now)
-            now, held = [], 0
     return out + ([now] if now else [])
 
 

@@ -113,7 +113,7 @@ def _sure(c: Column) -> Column:
 
 def _members(c: Column, values: list) -> Column:
     some = [v for v in values if v is not None]
-    parts = ([_sure(c.isin(*some))] if some else []) + ([c.isNull()] if len(some) < len(values) else [])
+    parts = ([c.isin(*some)] if some else []) + ([c.isNull()] if len(some) < len(values) else [])
     return _any(parts)
 
 
@@ -128,38 +128,43 @@ def _range(c: Column, bounds: dict) -> Column:
             parts.append(c <= v if bounds.get("include_upper", True) else c < v)
         elif key not in ("include_lower", "include_upper"):
             raise ValueError(f"unknown bound {key}")
-    return _sure(_all(parts))
+    return _all(parts)
 
 
-def compile_filter(f: Any, resolve: Resolve = F.col) -> Column:
-    """The predicate of a filter; ``resolve`` turns a path into a Column."""
+def compile_filter(f: Any, resolve: Resolve = F.col, bare: bool = False) -> Column:
+    """The predicate of a filter; ``resolve`` turns a path into a Column.
+
+    ``bare``: the predicate only selects rows, where null is as good as false. Then comparisons stay as they are, so that the
+    reader can take them; under a negation they are guarded all the same.
+    """
     f = simplify(f)
     if isinstance(f, bool):
         return F.lit(f)
     if len(f) != 1:
         raise ValueError(f"a filter has one key: {f}")
     ((op, arg),) = f.items()
-    sub = lambda x: compile_filter(x, resolve)
+    sub = lambda x: compile_filter(x, resolve, bare)
+    sure = (lambda c: c) if bare else _sure
     if op == "and":
         return _all([sub(x) for x in arg])
     if op == "or":
         return _any([sub(x) for x in arg])
     if op == "not":
-        return ~sub(arg)
+        return ~compile_filter(arg, resolve)
     if op == "term":
-        return _all([_members(resolve(k), v) if isinstance(v, list) else resolve(k).eqNullSafe(F.lit(v)) for k, v in arg.items()])
+        return _all([sure(_members(resolve(k), v)) if isinstance(v, list) else resolve(k).eqNullSafe(F.lit(v)) for k, v in arg.items()])
     if op == "terms":
-        return _all([_members(resolve(k), v) for k, v in arg.items()])
+        return _all([sure(_members(resolve(k), v)) for k, v in arg.items()])
     if op == "range":
-        return _all([_range(resolve(k), v) for k, v in arg.items()])
+        return _all([sure(_range(resolve(k), v)) for k, v in arg.items()])
     if op == "missing":
         return resolve(_field(arg)).isNull()
     if op == "exists":
         return resolve(_field(arg)).isNotNull()
     if op == "prefix":
-        return _all([_sure(F.startswith(resolve(k), F.lit(v))) for k, v in arg.items()])
+        return _all([sure(F.startswith(resolve(k), F.lit(v))) for k, v in arg.items()])
     if op == "instr":
-        return _all([_sure(F.contains(resolve(k), F.lit(v))) for k, v in arg.items()])
+        return _all([sure(F.contains(resolve(k), F.lit(v))) for k, v in arg.items()])
     if op == "script":
         return _sure(script(arg["script"] if isinstance(arg, dict) else arg))
     if op == "nested":

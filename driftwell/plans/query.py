@@ -200,10 +200,10 @@ class Engine:
         keep = not (q.single and len(q.select) == 1 and not q.edges)
         conjuncts = where["and"] if isinstance(where, dict) and "and" in where else [where]
         on_row = [c for c in conjuncts if not any(arrays_on(df.schema, p, last=False) for p in filters.fields(c))]
-        df = df.filter(filters.compile_filter({"and": on_row} if on_row else True, Flat(df, []).col))
+        df = df.filter(filters.compile_filter({"and": on_row} if on_row else True, Flat(df, []).col, bare=True))
         flat = Flat(df, deep, keep)
         rest = [c for c in conjuncts if c not in on_row]
-        flat.df = flat.df.filter(filters.compile_filter({"and": rest} if rest else True, flat.col))
+        flat.df = flat.df.filter(filters.compile_filter({"and": rest} if rest else True, flat.col, bare=True))
         if q.edges or any(s.aggregate != "none" for s in q.select):
             out = self._grouped(q, flat)
             return out.limit(q.limit) if q.limit is not None else out

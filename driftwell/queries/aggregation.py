@@ -75,8 +75,11 @@ def pivot_attributes(t: Tables) -> DataFrame:
 
 @query("""SELECT o_orderpriority AS p, count(*) FILTER (o_orderstatus = 'F') AS "F", count(*) FILTER (o_orderstatus = 'O') AS "O", count(*) FILTER (o_orderstatus = 'P') AS "P" FROM orders GROUP BY 1""")
 def pivot_discovered(t: Tables) -> DataFrame:
-    """The pivot's columns are listed from the data, a bounded list of values, and given to the plan."""
-    values = [r[0] for r in t.orders.select("o_orderstatus").distinct().orderBy("o_orderstatus").limit(100).collect()]
+    """The pivot's columns are listed from the data and given to the plan; more values than a table should have columns are an error."""
+    most = 1000
+    values = [r[0] for r in t.orders.select("o_orderstatus").distinct().orderBy("o_orderstatus").limit(most + 1).collect()]
+    if len(values) > most:
+        raise ValueError(f"more than {most} values to pivot by")
     return t.orders.groupBy(F.col("o_orderpriority").alias("p")).pivot("o_orderstatus", values).agg(F.count(F.lit(1))).na.fill(0)
 
 
@@ -159,7 +162,10 @@ def bag_subtract(t: Tables) -> DataFrame:
     return groups.bag_subtract(one("F"), one("O"), "v", negative=True)
 
 
-@query()
+@query("""WITH RECURSIVE c AS (SELECT c_nationkey, count(*) AS n, row_number() OVER (ORDER BY c_nationkey) AS i FROM customer GROUP BY 1),
+  g(i, c_nationkey, grp, held) AS (SELECT i, c_nationkey, 0, n FROM c WHERE i = 1 UNION ALL
+    SELECT c.i, c.c_nationkey, CASE WHEN held < 100 OR held + n < 200 THEN grp ELSE grp + 1 END, CASE WHEN held < 100 OR held + n < 200 THEN held + n ELSE n END FROM g JOIN c ON c.i = g.i + 1)
+  SELECT grp, c_nationkey FROM g""")
 def pack_groups(t: Tables) -> DataFrame:
     """Nations packed into groups of 100 to 200 customers; the greedy is sequential, over one count per nation."""
     counts = [(r["c_nationkey"], r["count"]) for r in t.customer.groupBy("c_nationkey").count().orderBy("c_nationkey").collect()]

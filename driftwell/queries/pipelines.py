@@ -155,7 +155,7 @@ def stream_new_files(t: Tables) -> DataFrame:
     store, schema = Store(t.spark, f"{root}/store"), ", ".join(f"{n} {k}" for n, k in t.events.dtypes)
 
     def batch(rows: DataFrame, number: int) -> None:
-        store.insert("sums", rows.groupBy("event_type").agg(F.count(F.lit(1)).alias("n"), F.sum("value").alias("total")))
+        store.insert("sums", rows.groupBy("event_type").agg(F.count(F.lit(1)).alias("n"), F.sum("value").alias("total")), batch=("files", number))
 
     for part in (0, 1):
         t.events.filter(F.col("event_id") % 2 == part).write.mode("append").parquet(f"{root}/in")

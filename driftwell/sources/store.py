@@ -1,10 +1,12 @@
-"""A store of tables as versioned folders: every write makes a new version and the pointer moves last.
+"""A store of tables as versioned folders: a version is a pointer that lists Parquet folders, and it is moved into place last.
 
-A reader sees the old version or the new one, never a part; a version is a Parquet folder, so nothing is changed in place.
+A reader sees the old version or the new one, never a part. An insert writes the new rows only: its version lists the folders
+of the one before and one more. Nothing is changed in place.
 """
 
 from __future__ import annotations
 
+import json
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -30,40 +32,79 @@ class Store:
     def exists(self, name: str) -> bool:
         return bool(self.versions(name))
 
+    def _pointer(self, name: str, version: str) -> dict:
+        """folders: what the version consists of; batches: the last batch of each stream that it holds."""
+        stream = self._fs.open(self._path(f"{self.root}/{name}/_current/{version}"))
+        try:
+            return json.loads(self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+        finally:
+            stream.close()
+
+    def _last(self, name: str) -> dict:
+        v = self.versions(name)
+        return self._pointer(name, v[-1]) if v else {"folders": [], "batches": {}}
+
     def read(self, name: str, version: int = -1) -> DataFrame:
         v = self.versions(name)
         if not v:
             raise KeyError(name)
-        return self.spark.read.parquet(f"{self.root}/{name}/{v[version]}")
-
-    def write(self, name: str, df: DataFrame, partition: list[str] | None = None) -> DataFrame:
-        """A new version; the one that is read for it stays until ``prune``."""
-        version = f"{len(self.versions(name)):06d}-{uuid.uuid4().hex[:8]}"
+        folders = [f"{self.root}/{name}/{f}" for f in self._pointer(name, v[version])["folders"]]
+        return self.spark.read.option("mergeSchema", len(folders) > 1).parquet(*folders)
+
+    def write(self, name: str, df: DataFrame, partition: list[str] | None = None, after: tuple[str, ...] | list[str] = (), batches: dict[str, int] | None = None) -> DataFrame:
+        """A new version: the rows of ``df`` and those of the folders ``after``. The one that is read for it stays until ``prune``."""
+        v, batches = self.versions(name), batches if batches is not None else self._last(name)["batches"]
+        # Numbers go on from the newest version, so that they stay in order whatever was pruned or rolled back.
+        version = f"{int(v[-1].split('-')[0]) + 1 if v else 0:06d}-{uuid.uuid4().hex[:8]}"
         writer = df.write.partitionBy(*partition) if partition else df.write
         writer.parquet(f"{self.root}/{name}/{version}")
-        self._fs.create(self._path(f"{self.root}/{name}/_current/{version}")).close()
+        draft = self._path(f"{self.root}/{name}/_draft-{version}")
+        out = self._fs.create(draft)
+        out.write(bytearray(json.dumps({"folders": [*after, version], "batches": batches}).encode()))
+        out.close()
+        self._fs.mkdirs(self._path(f"{self.root}/{name}/_current"))
+        if not self._fs.rename(draft, self._path(f"{self.root}/{name}/_current/{version}")):
+            raise OSError(f"cannot publish {version} of {name}")
         return self.read(name)
 
+    def _forget(self, name: str, gone: list[str]) -> None:
+        """Delete versions, and the folders that no other version lists."""
+        used = {f for v in self.versions(name) if v not in gone for f in self._pointer(name, v)["folders"]}
+        folders = {f for v in gone for f in self._pointer(name, v)["folders"]} - used
+        for v in gone:
+            self._fs.delete(self._path(f"{self.root}/{name}/_current/{v}"), False)
+        for f in folders:
+            self._fs.delete(self._path(f"{self.root}/{name}/{f}"), True)
+
     def prune(self, name: str, keep: int = 1) -> None:
         """Delete all but the newest versions."""
-        for v in self.versions(name)[:-keep]:
-            self._fs.delete(self._path(f"{self.root}/{name}/_current/{v}"), False)
-            self._fs.delete(self._path(f"{self.root}/{name}/{v}"), True)
+        self._forget(name, self.versions(name)[:-keep])
 
     def rollback(self, name: str) -> None:
         """The version before becomes current."""
-        v = self.versions(name)[-1]
-        self._fs.delete(self._path(f"{self.root}/{name}/_current/{v}"), False)
-        self._fs.delete(self._path(f"{self.root}/{name}/{v}"), True)
+        self._forget(name, self.versions(name)[-1:])
 
     def alias(self, view: str, name: str) -> None:
         """A temporary view on the current version."""
         self.read(name).createOrReplaceTempView(view)
 
     # Changes ------------------------------------------------------------------------------------------------------
-    def insert(self, name: str, rows: DataFrame) -> DataFrame:
-        """Append; columns are the union of both."""
-        return self.write(name, self.read(name).unionByName(rows, allowMissingColumns=True) if self.exists(name) else rows)
+    def insert(self, name: str, rows: DataFrame, batch: tuple[str, int] | None = None) -> DataFrame:
+        """Append; columns are the union of both. A batch (stream, number) that the table holds already is not added again.
+
+        Only the new rows are written, unless a column's type differs: then both are written anew in the common type.
+        """
+        last = self._last(name)
+        if batch and batch[1] <= last["batches"].get(batch[0], -1):
+            return self.read(name)
+        batches = last["batches"] | ({batch[0]: batch[1]} if batch else {})
+        if not last["folders"]:
+            return self.write(name, rows, batches=batches)
+        now = self.read(name)
+        types = dict(now.dtypes)
+        if all(types.get(c, t) == t for c, t in rows.dtypes):
+            return self.write(name, rows, after=last["folders"], batches=batches)
+        return self.write(name, now.unionByName(rows, allowMissingColumns=True), batches=batches)
 
     def insert_new(self, name: str, rows: DataFrame, keys: list[str]) -> DataFrame:
         """Append the rows whose key is not there yet; missing key values equal each other."""

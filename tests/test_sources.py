@@ -32,6 +32,19 @@ def test_filters_reach_the_reader(spark, tmp_path):
     assert "GreaterThan(a,90)" in plan and "c:int" not in plan.split("ReadSchema")[1]
 
 
+def test_filters_of_the_language_reach_the_reader(spark, tmp_path):
+    from driftwell.plans.query import Engine
+
+    spark.createDataFrame([(1, "ab"), (None, None), (5, "b")], "a int, b string").write.parquet(str(tmp_path / "t"))
+    engine = Engine(spark, {"t": spark.read.parquet(str(tmp_path / "t"))})
+    where = [{"range": {"a": {"gte": 1, "lt": 9}}}, {"terms": {"a": [1, 2]}}, {"prefix": {"b": "a"}}]
+    for f, pushed in zip(where, (("GreaterThanOrEqual(a,1)", "LessThan(a,9)"), ("In(a, [1,2])",), ("StringStartsWith(b,a)",)), strict=True):
+        plan = engine.run({"from": "t", "select": ["a"], "where": {"and": [f, {"exists": "a"}]}})._jdf.queryExecution().executedPlan().toString()
+        assert all(x in plan for x in pushed), plan
+    count = lambda f: engine.run({"from": "t", "select": ["a"], "where": f}).count()
+    assert count({"and": where}) == 1 and count({"not": where[0]}) == 1 and count({"not": {"or": where}}) == 1 and count({"or": where}) == 2
+
+
 def test_store(spark, tmp_path):
     store = Store(spark, str(tmp_path / "s"))
     with pytest.raises(KeyError):
@@ -47,6 +60,33 @@ def test_store(spark, tmp_path):
     assert new_ids(one, 10).select("id").distinct().count() == 2
 
 
+def test_writes_after_prune_and_rollback_stay_newest(spark, tmp_path):
+    store = Store(spark, str(tmp_path / "s"))
+    for i in range(3):
+        store.write("t", spark.range(i, i + 1))
+    store.prune("t")
+    assert [r["id"] for r in store.write("t", spark.range(100, 101)).collect()] == [100]
+    store.insert("t", spark.range(200, 201))
+    assert sorted(r["id"] for r in store.read("t").collect()) == [100, 200]
+    store.rollback("t")
+    assert [r["id"] for r in store.insert("t", spark.range(300, 301)).orderBy("id").collect()] == [100, 300]
+    store.prune("t")
+    assert [r["id"] for r in store.read("t").orderBy("id").collect()] == [100, 300]
+
+
+def test_insert_appends_a_folder_and_takes_a_batch_once(spark, tmp_path):
+    store = Store(spark, str(tmp_path / "s"))
+    store.insert("t", spark.createDataFrame([(1, "a")], "k int, v string"), batch=("files", 0))
+    first = {p.name: p.stat().st_mtime_ns for p in tmp_path.glob("s/t/0*/*.parquet")}
+    store.insert("t", spark.createDataFrame([(2, 0.5)], "k int, w double"), batch=("files", 1))
+    store.insert("t", spark.createDataFrame([(2, 0.5)], "k int, w double"), batch=("files", 1))
+    assert sorted((r["k"], r["v"], r["w"]) for r in store.read("t").collect()) == [(1, "a", None), (2, None, 0.5)]
+    now = {p.name: p.stat().st_mtime_ns for p in tmp_path.glob("s/t/0*/*.parquet")}
+    assert first.items() <= now.items() and len(store.versions("t")) == 2
+    store.insert("t", spark.createDataFrame([(2**40,)], "k long"))
+    assert store.read("t").agg(F.max("k")).first()[0] == 2**40
+
+
 def test_sinks(spark, tmp_path):
     df = spark.createDataFrame([(1, "a\tb", None), (2, '"q"', [3])], "k int, v string, l array<int>")
     assert [r["value"] for r in sinks.tab_cells(df).orderBy("value").collect()] == ['1\t"a\\tb"\tnull', '2\t"\\"q\\""\t[3]']

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from driftwell import queries
 
-from .test_oracles import TABLES, rows
+from .test_oracles import TABLES, near, rows
 
 FOLDER = "/root/testdata/sf0.01"
 
@@ -25,10 +25,6 @@ def duck():
     return con
 
 
-def near(x, y):
-    return x == y or (isinstance(x, (int, float)) and isinstance(y, (int, float)) and math.isclose(x, y, rel_tol=1e-6, abs_tol=2e-6))
-
-
 def holds(spark, duck, name, cut, around="{}"):
     """The rows of a query, after they were found equal to those of its SQL without ``cut``, put into ``around``."""
     df = queries.queries()[name](spark, FOLDER)
