@@ -17,6 +17,7 @@ k candidates all are returned; an empty table gives no rows; other columns are i
 from __future__ import annotations
 
 import heapq
+import pickle
 import sys
 from collections.abc import Iterator
 from functools import reduce
@@ -24,6 +25,7 @@ from functools import reduce
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -95,7 +97,7 @@ def put(forest, parts):
     """Every vector into a part of a leaf of each tree."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = forest.value
+        own = pickle.loads(forest.value)
         for batch in batches:
             if not batch.num_rows:
                 continue
@@ -107,22 +109,23 @@ def put(forest, parts):
                     continue
                 many = parts.value[t, leaf[t]]
                 part = (kernels.mix(ids.astype(np.uint64)) % many.astype(np.uint64)).astype(np.int64)
-                yield pa.RecordBatch.from_pydict({"leaf": pa.array((t << 32) + leaf[t]), "part": pa.array(part), "id": batch.column("id"), "vec": batch.column("vec"), "query": pa.array(np.zeros(len(ids), bool))})
+                yield pa.RecordBatch.from_pydict({"leaf": pa.array((t << 32) + leaf[t]), "part": pa.array(part), "id": batch.column("id"), "n": batch.column("n"), "vec": batch.column("vec"), "query": pa.array(np.zeros(len(ids), bool))})
 
     return run
 
 
 def ask(forest, parts, sizes, budget: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = pickle.loads(forest.value)
         for batch in batches:
             if not batch.num_rows:
                 continue
-            found = forest.value.search(vectors.matrix(batch.column("vec")), sizes.value, budget)
+            found = own.search(vectors.matrix(batch.column("vec")), sizes.value, budget)
             rows = [(i, (t << 32) + leaf, p) for i, ls in enumerate(found) for t, leaf in ls for p in range(int(parts.value[t, leaf]))]
             for k in range(0, len(rows), 1 << 14):
                 at, leaf, part = zip(*rows[k : k + (1 << 14)], strict=True)
                 at = pa.array(at)
-                yield pa.RecordBatch.from_pydict({"leaf": pa.array(leaf), "part": pa.array(part), "id": batch.column("id").take(at), "vec": batch.column("vec").take(at), "query": pa.array(np.ones(len(at), bool))})
+                yield pa.RecordBatch.from_pydict({"leaf": pa.array(leaf), "part": pa.array(part), "id": batch.column("id").take(at), "n": batch.column("n").take(at), "vec": batch.column("vec").take(at), "query": pa.array(np.ones(len(at), bool))})
 
     return run
 
@@ -132,7 +135,7 @@ def rank(k: int):
         q, c = frame[frame["query"]], frame[~frame["query"]]
         out: list[tuple] = []
         if len(q) and len(c):
-            x, ids = np.stack(c["vec"].to_numpy()).astype(np.float64), c["id"].to_numpy()
+            x, ids, n = np.stack(c["vec"].to_numpy()).astype(np.float64), c["id"].to_numpy(), c["n"].to_numpy()
             size = vectors.norms(x)
             own = np.stack(q["vec"].to_numpy()).astype(np.float64)
             for i in range(0, len(q), 256):
@@ -144,8 +147,8 @@ def rank(k: int):
                     near = np.flatnonzero((s >= low - SLACK * np.sqrt(v @ v)) & (ids != qid))
                     exact = (x[near] * v).sum(axis=1) / (size[near] * vectors.norms(v[None])[0])
                     best = np.lexsort([ids[near], -exact])[:k]
-                    out += [(qid, ids[near][b], exact[b]) for b in best]
-        return pd.DataFrame(out, columns=["query_id", "vec_id", "score"]).astype({"query_id": "int64", "vec_id": "int64", "score": "float64"})
+                    out += [(qid, ids[near][b], exact[b], n[near][b]) for b in best]
+        return pd.DataFrame(out, columns=["query_id", "vec_id", "score", "n"]).astype({"query_id": "int64", "vec_id": "int64", "score": "float64", "n": "int64"})
 
     return run
 
@@ -154,25 +157,30 @@ def found_in(good: DataFrame, total: int, queries: Column, k: int, key: str, sha
     """query_id, vec_id, score from the leaves, for vectors of one length."""
     spark = good.sparkSession
     sample = good.orderBy(F.xxhash64("id"), "id").limit(SAMPLE).select("vec").toArrow()
-    forest = spark.sparkContext.broadcast(Forest(vectors.matrix(sample.column("vec")) if total else np.ones((1, 1)), total))
+    own = Forest(vectors.matrix(sample.column("vec")) if total else np.ones((1, 1)), total)
+    forest = spark.sparkContext.broadcast(cloudpickle.dumps(own))  # by value: executors need not have this package
     counted = good.mapInArrow(put(forest, None), "leaf long").groupBy("leaf").count().collect()  # TREES * 2**DEPTH rows at most
-    sizes = np.zeros((TREES, 2**forest.value.depth), np.int64)
+    sizes = np.zeros((TREES, 2**own.depth), np.int64)
     for r in counted:
         sizes[r["leaf"] >> 32, r["leaf"] & 0xFFFFFFFF] = r["count"]
     held, parts = spark.sparkContext.broadcast(sizes), spark.sparkContext.broadcast(np.maximum(1, -(-sizes // PART)))
     kind = dict(good.dtypes)["vec"]
-    schema = f"leaf long, part long, id long, vec {kind}, query boolean"
+    schema = f"leaf long, part long, id long, n long, vec {kind}, query boolean"
     asked = good.withColumnRenamed("id", key).filter(queries).withColumnRenamed(key, "id").mapInArrow(ask(forest, parts, held, share * total), schema)
     both = good.mapInArrow(put(forest, parts), schema).unionByName(asked)
-    return both.groupBy("leaf", "part").applyInPandas(rank(k), "query_id long, vec_id long, score double")
+    return both.groupBy("leaf", "part").applyInPandas(rank(k), "query_id long, vec_id long, score double, n long")
 
 
 def nearest(df: DataFrame, queries: Column, k: int = 5, key: str = "vec_id", vector: str = "embedding", share: float = SHARE) -> DataFrame:
     """query_id, rank, vec_id, score: for the rows that satisfy ``queries``, the k nearest other rows found, by cosine."""
     for m in (kernels, vectors, sys.modules[__name__]):
         ship(m)
-    good = vectors.usable(df, key, vector, Stash(df.sparkSession, "nearest"))
+    stash = Stash(df.sparkSession, "nearest")
+    # Rows equal in id and vector go as one with their number.
+    rows = vectors.usable(df, key, vector, stash).groupBy("id", F.xxhash64("vec").alias("h")).agg(F.first("vec").alias("vec"), F.count("*").alias("n"))
+    good = stash.keep(rows.select("id", "n", "vec"), "distinct")
     found = reduce(DataFrame.unionByName, [found_in(rows, total, queries, k, key, share) for rows, total in vectors.spaces(good)])
-    # A candidate comes from several trees; a row repeated with one id counts once.
+    # A candidate comes from several trees; one that stands for n rows takes n ranks.
     order = W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return found.distinct().withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    each = F.explode(F.sequence(F.lit(1).cast("long"), F.least("n", F.lit(k).cast("long"))))
+    return found.distinct().withColumn("copy", each).withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

@@ -7,6 +7,8 @@ inside; no task ever sees more than its own bin. Cuts lie at equal byte targets.
 Equal texts form one unit and stay in one shard, unless they weigh more than a thousandth of a shard: then the group is
 split into parts of about that weight, so a text that fills a third of the table cannot unbalance anything.
 
+Shards and slots do not depend on how the rows lie in files, except that rows equal in id and text may change places.
+
 Edge cases: a null text has size 1 (no bytes, plus 1) and checksum 0; a null id is an ordinary value; repeated rows are
 separate rows; an empty table gives an empty result; other columns are ignored.
 """
@@ -39,9 +41,13 @@ def shard(docs: DataFrame, shards: int = 8, key: str = "doc_id", text: str = "te
             F.crc32(t).alias("crc"),
             F.xxhash64(t).alias("th"),
             F.monotonically_increasing_id().alias("rid"),
-        ).withColumn("dh", F.xxhash64("key", "rid")),
+        ),
         "rows",
     )
+    # Only rows equal in id and text, which are interchangeable, are told apart by where they stand in the files.
+    again = stash.keep(rows.groupBy("key", "th").agg(F.count("*").alias("n")).filter("n > 1"), "again").alias("a")
+    same = F.col("r.key").eqNullSafe(F.col("a.key")) & (F.col("r.th") == F.col("a.th"))
+    rows = rows.alias("r").join(again, same, "left").select("r.*", F.xxhash64("r.key", "r.th", F.when(F.col("a.n") > 1, F.col("rid"))).alias("dh"))
     total = rows.agg(F.coalesce(F.sum("size"), F.lit(0)).alias("total"))
     most = F.col("total") / F.lit(shards * GRAIN)
     # Groups over the grain number at most shards * GRAIN, since their sizes sum to no more than the total.
@@ -77,13 +83,13 @@ def shard(docs: DataFrame, shards: int = 8, key: str = "doc_id", text: str = "te
         .select("th", "part", F.least(F.floor(middle * shards / F.col("total")), F.lit(shards - 1)).cast("int").alias("shard"))
     )
     sharded = stash.keep(
-        placed.join(cut, ["th", "part"]).select("key", "size", "crc", "rid", "shard", F.pmod("dh", F.lit(SLOT_BINS)).alias("slot_bin")),
+        placed.join(cut, ["th", "part"]).select("key", "size", "crc", "th", "rid", "shard", F.pmod("dh", F.lit(SLOT_BINS)).alias("slot_bin")),
         "sharded",
     )
     counted = sharded.groupBy("shard", "slot_bin").agg(F.count("*").alias("n"))
     before = W.partitionBy("shard").orderBy("slot_bin").rowsBetween(W.unboundedPreceding, 0)
     bases = counted.select("shard", "slot_bin", (F.sum("n").over(before) - F.col("n")).alias("base"))  # shards * SLOT_BINS rows at most
-    rank = F.row_number().over(W.partitionBy("shard", "slot_bin").orderBy("key", "rid"))
+    rank = F.row_number().over(W.partitionBy("shard", "slot_bin").orderBy("key", "th", "rid"))
     return (
         sharded.join(F.broadcast(bases), ["shard", "slot_bin"])
         .select(

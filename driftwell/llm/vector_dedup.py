@@ -17,6 +17,7 @@ gives no rows; other columns are ignored.
 
 from __future__ import annotations
 
+import pickle
 import sys
 from collections.abc import Iterator
 from functools import reduce
@@ -24,6 +25,7 @@ from functools import reduce
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -71,12 +73,13 @@ class Cells:
 
 def count_cells(cells, copies: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = pickle.loads(cells.value)
         for batch in batches:
             if not batch.num_rows:
                 continue
             x, ids = vectors.matrix(batch.column("vec")), batch.column("id").to_numpy()
             for i in range(0, len(x), 1024):
-                out = cells.value.copies(ids[i : i + 1024], x[i : i + 1024])[2] if copies else cells.value.place(x[i : i + 1024])[0]
+                out = own.copies(ids[i : i + 1024], x[i : i + 1024])[2] if copies else own.place(x[i : i + 1024])[0]
                 cell, n = np.unique(out, return_counts=True)
                 yield pa.RecordBatch.from_pydict({"cell": pa.array(cell.astype(np.int64)), "n": pa.array(n.astype(np.int64))})
 
@@ -87,11 +90,12 @@ def deal(cells, tasks):
     """Rows for the cells: (sub-cell, task, id, n, vec, home)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = pickle.loads(cells.value)
         for batch in batches:
             for i in range(0, batch.num_rows, 512):
                 part = batch.slice(i, 512)
                 x, ids = vectors.matrix(part.column("vec")), part.column("id").to_numpy()
-                home, row, sub = cells.value.copies(ids, x)
+                home, row, sub = held.copies(ids, x)
                 many = tasks.value[home]
                 own = np.repeat(np.arange(len(ids)), many)
                 at = np.append(own, row)
@@ -153,14 +157,14 @@ def links_in(distinct: DataFrame, total: int, threshold: float) -> DataFrame:
     def counted(copies: bool, size: int) -> np.ndarray:
         """Numbers of cells or sub-cells: at most PIVOTS + total / HOME rows."""
         out = np.zeros(size, np.int64)
-        held = spark.sparkContext.broadcast(own)
+        held = spark.sparkContext.broadcast(cloudpickle.dumps(own))  # by value: executors need not have this package
         for r in distinct.mapInArrow(count_cells(held, copies), "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).collect():
             out[r["cell"]] = r["n"]
         return out
 
     own.blocks = np.maximum(1, -(-counted(False, many) // HOME))
     guests = counted(True, int(own.blocks.sum()))
-    cells, tasks = spark.sparkContext.broadcast(own), spark.sparkContext.broadcast(np.maximum(1, -(-guests // GUESTS)))
+    cells, tasks = spark.sparkContext.broadcast(cloudpickle.dumps(own)), spark.sparkContext.broadcast(np.maximum(1, -(-guests // GUESTS)))
     kind = dict(distinct.dtypes)["vec"]
     dealt = distinct.select("id", "n", "vec").mapInArrow(deal(cells, tasks), f"cell long, task long, id long, n long, vec {kind}, home boolean")
     return dealt.groupBy("cell", "task").applyInPandas(compare(threshold), "a long, b long, links long")

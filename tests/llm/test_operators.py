@@ -116,6 +116,7 @@ def test_sharding(docs, none, spark):
     assert sorted(by) == list(range(8)) and max(load) - min(load) < 0.02 * sum(load)
     assert all(sorted(r["slot"] for r in v) == list(range(len(v))) for v in by.values())
     small = rows_of(sharding.shard(docs), "doc_id")
+    assert rows_of(sharding.shard(docs.repartition(7)), "doc_id") == small
     assert all(small[i]["text_crc32"] == brute.crc(t) and small[i]["size"] == len((t or "").encode()) + 1 for i, t in texts())
     assert sharding.shard(none).count() == 0
 
@@ -277,6 +278,8 @@ def test_nearest(spark):
     assert hits / 200 >= 0.9
     few = df.filter("vec_id in (0, 1, 2)")
     assert nearest.nearest(few, F.col("vec_id") == 0).count() == 2
+    twice = few.union(few.filter("vec_id = 1"))
+    assert sorted(r["vec_id"] for r in nearest.nearest(twice, F.col("vec_id") == 0).collect()) == [1, 1, 2]
     assert nearest.nearest(df.limit(0), F.col("vec_id") == 0).count() == 0
 
 
