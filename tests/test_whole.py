@@ -1,7 +1,4 @@
-"""Queries over whole tables: each against its registered SQL without the condition that cut the table.
-
-The registered SQL is left as it is; once it loses the condition, nothing is replaced here and the tests still hold.
-"""
+"""Queries over whole tables: each against its registered SQL, on larger tables than those of test_oracles."""
 
 import math
 
