@@ -34,6 +34,15 @@ def store_changes(t: Tables) -> DataFrame:
     return store.delete("n", F.col("n_nationkey") == 5)
 
 
+@query("""SELECT o_orderkey, CASE WHEN o_totalprice >= 200000 AND o_orderstatus <> 'F' THEN 'large' ELSE o_orderpriority END AS o_orderpriority,
+  CASE WHEN o_totalprice >= 200000 AND o_orderstatus <> 'F' THEN o_custkey + 1 ELSE o_custkey END AS o_custkey FROM orders""")
+def store_update_query(t: Tables) -> DataFrame:
+    store = Store(t.spark, scratch(t))
+    store.write("o", t.orders.select("o_orderkey", "o_orderpriority", "o_custkey", "o_totalprice", "o_orderstatus"))
+    where = {"and": [{"range": {"o_totalprice": {"gte": 200000}}}, {"not": {"term": {"o_orderstatus": "F"}}}]}
+    return store.update_query("o", {"set": {"o_orderpriority": "large", "o_custkey": {"script": "o_custkey + 1"}}, "where": where}).select("o_orderkey", "o_orderpriority", "o_custkey")
+
+
 @query("""SELECT n_nationkey, CASE WHEN n_regionkey = 1 THEN upper(n_name) || '!' ELSE n_name END AS n_name FROM nation""")
 def store_merge_and_versions(t: Tables) -> DataFrame:
     store = Store(t.spark, scratch(t))

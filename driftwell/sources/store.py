@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.joins import null_safe
+from ..plans import filters
 
 
 class Store:
@@ -120,6 +121,13 @@ class Store:
             now = now.withColumn(f"new_{k}", F.when(F.coalesce(where, F.lit(False)), v).otherwise(F.col(k)))
         return self.write(name, now.drop(*values).withColumnsRenamed({f"new_{k}": k for k in values}))
 
+    def update_query(self, name: str, q: dict) -> DataFrame:
+        """An update of the query language: {"set": {column: value, or {"script": text}}, "where": filter}; no filter takes every row."""
+        if unknown := set(q) - {"from", "set", "where"}:
+            raise ValueError(f"unknown clauses {sorted(unknown)}")
+        values = {k: filters.script(v["script"]) if isinstance(v, dict) and set(v) == {"script"} else v for k, v in q["set"].items()}
+        return self.update(name, filters.compile_filter(q.get("where", True)), values)
+
     def update_slice(self, name: str, slice_: dict, values: dict) -> DataFrame:
         """Where the slice's values are equal; missing ones match missing ones."""
         test = F.lit(True)

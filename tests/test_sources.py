@@ -74,6 +74,17 @@ def test_writes_after_prune_and_rollback_stay_newest(spark, tmp_path):
     assert [r["id"] for r in store.read("t").orderBy("id").collect()] == [100, 300]
 
 
+def test_update_by_query(spark, tmp_path):
+    store = Store(spark, str(tmp_path / "s"))
+    store.write("t", spark.createDataFrame([(1, "a"), (2, "b"), (3, None)], "k int, v string"))
+    store.update_query("t", {"from": "t", "set": {"v": "x"}, "where": {"not": {"term": {"v": "a"}}}})
+    assert sorted(tuple(r) for r in store.read("t").collect()) == [(1, "a"), (2, "x"), (3, "x")]
+    store.update_query("t", {"set": {"k": {"script": "k * 10"}}, "where": {"range": {"k": {"gte": 2}}}})
+    assert sorted(tuple(r) for r in store.update_query("t", {"set": {"v": None}}).collect()) == [(1, None), (20, None), (30, None)]
+    with pytest.raises(ValueError):
+        store.update_query("t", {"set": {"v": 1}, "limit": 3})
+
+
 def test_insert_appends_a_folder_and_takes_a_batch_once(spark, tmp_path):
     store = Store(spark, str(tmp_path / "s"))
     store.insert("t", spark.createDataFrame([(1, "a")], "k int, v string"), batch=("files", 0))
