@@ -6,7 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ..functions import jsons
 from ..operators import joins, sets
+from ..operators.stored import stored
 from .registry import Tables, query
 
 
@@ -182,6 +184,44 @@ def report_array_elements(t: Tables) -> DataFrame:
     return t.events.select("event_id", *[F.get(v, F.lit(i)).alias(f"v{i}") for i in (0, 2, 8)])
 
 
-@query("""SELECT event_id, row_number() OVER (PARTITION BY event_type ORDER BY ts, event_id) AS n FROM events WHERE value > 90""")
+@query("""SELECT l_orderkey, l_linenumber, o_orderdate::TIMESTAMP AS pushed, c_name, n_name FROM lineitem JOIN orders ON o_orderkey = l_orderkey JOIN customer ON c_custkey = o_custkey JOIN nation ON n_nationkey = c_nationkey
+  WHERE n_name = (SELECT min(n_name) FROM nation) ORDER BY o_orderdate DESC, l_orderkey, l_linenumber LIMIT 1000""")
 def report_push_log(t: Tables) -> DataFrame:
+    """The newest 1000 lines of one nation's orders, newest first: the report's own length."""
+    first = t.nation.select("n_nationkey", "n_name").join(t.nation.agg(F.min("n_name").alias("first")), F.col("n_name") == F.col("first"))
+    customers = t.customer.join(first, F.col("c_nationkey") == F.col("n_nationkey"))
+    pushes = t.orders.join(customers, F.col("o_custkey") == F.col("c_custkey"))
+    lines = t.lineitem.join(pushes, F.col("l_orderkey") == F.col("o_orderkey"))
+    return lines.orderBy(F.desc("o_orderdate"), "l_orderkey", "l_linenumber").limit(1000).select("l_orderkey", "l_linenumber", F.col("o_orderdate").cast("timestamp").alias("pushed"), "c_name", "n_name")
+
+
+@query("""SELECT o_orderkey AS id, date_trunc('day', o_orderdate)::TIMESTAMP AS day, o_orderpriority AS test, o_totalprice AS severity FROM orders""")
+def report_newest_alerts(t: Tables) -> DataFrame:
+    """Alerts newest first, with the date and the test that their details, a JSON text, hold."""
+    details = F.to_json(F.struct(F.date_format("o_orderdate", "yyyy-MM-dd").alias("day"), F.col("o_orderpriority").alias("test")))
+    alerts = t.orders.select(F.col("o_orderkey").alias("id"), details.alias("details"), F.col("o_totalprice").alias("severity"))
+    of = lambda name: jsons.string(F.col("details"), name)
+    return alerts.select("id", F.to_timestamp(of("day"), "yyyy-MM-dd").alias("day"), of("test").alias("test"), "severity").orderBy(F.desc("id"))
+
+
+REPLICATES = 25
+
+
+@query(f"""WITH last AS (SELECT user_id, event_type, max(ts) AS upto FROM events WHERE value > 99 GROUP BY 1, 2)
+  SELECT event_id, e.user_id, e.event_type, {", ".join(f"v[{i + 1}] AS r{i}" for i in range(REPLICATES))}
+  FROM (SELECT *, [value + x FOR x IN range(event_id % 30)] AS v FROM events) e JOIN last l ON l.user_id = e.user_id AND l.event_type = e.event_type AND e.ts <= l.upto
+  WHERE EXISTS (SELECT 1 FROM events p WHERE p.user_id = e.user_id AND p.event_type = 'purchase')""")
+def report_replicates(t: Tables) -> DataFrame:
+    """Each series with an alert (a value over 99) up to its last one, of users that bought: replicates 0 to 24 as columns."""
+    series = ["user_id", "event_type"]
+    last = t.events.filter("value > 99").groupBy(*series).agg(F.max("ts").alias("upto"))
+    raw = stored(t.events.join(last, series).filter("ts <= upto").select("event_id", *series, "value"))
+    bought = raw.join(t.events.filter("event_type = 'purchase'").select("user_id"), "user_id", "left_semi")
+    n = F.col("event_id") % 30
+    rows = bought.withColumn("v", F.when(n > 0, F.transform(F.sequence(F.lit(0).cast("long"), F.greatest(n - 1, F.lit(0))), lambda x: F.col("value") + x)))
+    return rows.select("event_id", *series, *[F.get("v", F.lit(i)).alias(f"r{i}") for i in range(REPLICATES)])
+
+
+@query("""SELECT event_id, row_number() OVER (PARTITION BY event_type ORDER BY ts, event_id) AS n FROM events WHERE value > 90""")
+def window_row_number(t: Tables) -> DataFrame:
     return t.events.filter("value > 90").select("event_id", F.row_number().over(W.partitionBy("event_type").orderBy("ts", "event_id")).cast("long").alias("n"))
