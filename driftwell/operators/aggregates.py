@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import dataclass
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.window import WindowSpec
 
 #: Every name of an aggregate, and the expression that it stands for.
 BY_NAME: dict[str, Callable[[Column], Column]] = {
@@ -26,10 +28,35 @@ BY_NAME: dict[str, Callable[[Column], Column]] = {
 }
 
 
+@dataclass(frozen=True)
+class Own:
+    """An aggregate of a user: partial aggregates of the value that Spark merges, and the result from them."""
+
+    parts: dict[str, Callable[[Column], Column]]
+    end: Callable[[dict[str, Column]], Column]
+
+    def of(self, value: Column, over: WindowSpec | None = None) -> Column:
+        found = {k: part(value) for k, part in self.parts.items()}
+        return self.end({k: c.over(over) for k, c in found.items()} if over is not None else found)
+
+
+OWN: dict[str, Own] = {}
+
+
+def define(name: str, parts: dict[str, Callable[[Column], Column]], end: Callable[[dict[str, Column]], Column]) -> None:
+    """Make ``name`` an aggregate of queries, edges and windows. Each part is one built-in aggregate, so that sums are taken
+    before the shuffle; a name that exists already is refused."""
+    if name in BY_NAME or name in OWN:
+        raise ValueError(f"aggregate {name} exists already")
+    OWN[name] = Own(parts, end)
+
+
 def aggregate(name: str, value: Column | None) -> Column:
     """The aggregate of that name; counts without a value count rows. NaN counts as missing in max and min."""
     if name in ("one", "count", "N", "X0") and value is None:
         return F.count(F.lit(1))
+    if name in OWN:
+        return OWN[name].of(value)
     if name not in BY_NAME:
         raise ValueError(f"unknown aggregate {name}")
     return BY_NAME[name](value)
@@ -95,9 +122,13 @@ def trimmed(values: Column, middle: float) -> Column:
         off = F.ceil(n * F.lit((1.0 - middle) / 2)).cast("int")
         return F.when(off * 2 < n, F.slice(v, off + 1, F.greatest(n - off * 2, F.lit(0)))).otherwise(F.slice(v, 1, 0))
 
+    def add(held: Column, value: Column) -> Column:
+        x = value.cast("double")
+        powers = [F.when(x.isNotNull(), F.lit(1.0)), x, x * x, x * x * x, x * x * x * x]
+        return F.struct(*[(held[f"S{p}"] + power).alias(f"S{p}") for p, power in enumerate(powers)])
+
     def sums(kept: Column) -> Column:
-        fold = lambda p: F.aggregate(kept, F.lit(0.0), lambda a, x: a + F.pow(x.cast("double"), F.lit(float(p))))
-        return F.struct(*[fold(p).alias(f"S{p}") for p in range(5)])
+        return F.aggregate(kept, F.struct(*[F.lit(0.0).alias(f"S{p}") for p in range(5)]), add)
 
     return let(let(let(F.sort_array(values), of), sums), summary)
 

@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from .stored import stored
+
 
 def group_rows(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """One row per key with its rows as an array in the given order."""
@@ -28,12 +30,13 @@ def chunks(df: DataFrame, size: int, order: list[str], within: list[str] | None
     return df.withColumn(out, F.floor((n - 1) / size).cast("long"))
 
 
-def global_chunks(df: DataFrame, size: int, order: str, ranges: int = 64, out: str = "chunk") -> DataFrame:
-    """Chunks over a whole table: rows are counted per range of the order, so no task sorts all of them."""
-    spread = df.repartitionByRange(ranges, order).withColumn("range_", F.spark_partition_id())
-    from ..operators.stored import stored
+def global_chunks(df: DataFrame, size: int, order: str, ranges: int | None = None, out: str = "chunk") -> DataFrame:
+    """Chunks over a whole table: rows are counted per range of the order, so no task sorts all of them.
 
-    spread = stored(spread)
+    ``ranges``: their number, else the session's number of shuffle partitions.
+    """
+    by = (order,) if ranges is None else (ranges, order)
+    spread = stored(df.repartitionByRange(*by).withColumn("range_", F.spark_partition_id()))
     counts = spread.groupBy("range_").agg(F.count(F.lit(1)).alias("n"))
     base = counts.select("range_", (F.sum("n").over(W.orderBy("range_").rowsBetween(W.unboundedPreceding, 0)) - F.col("n")).alias("base"))
     n = F.row_number().over(W.partitionBy("range_").orderBy(order))

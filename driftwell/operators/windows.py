@@ -36,6 +36,8 @@ def over(name: str, value: Column | None, window: WindowSpec, middle: float | No
             sums.append(F.coalesce(F.sum(power).over(window), F.lit(0.0)).alias(f"S{k}"))
             power = power * x
         return aggregates.summary(F.struct(*sums))
+    if name in aggregates.OWN:
+        return aggregates.OWN[name].of(value, window)
     out = aggregates.aggregate(name, value).over(window) if name not in ("and", "or", "exists") else {"and": F.bool_and, "or": F.bool_or, "exists": lambda c: F.bool_or(c.isNotNull())}[name](value).over(window)
     return F.coalesce(out, F.lit(0)) if name in ("sum", "add", "X1") else out
 

@@ -99,7 +99,9 @@ class Domain:
     def frame(self, spark: SparkSession, name: str, nulls: bool = True) -> DataFrame | None:
         """All parts as (name, name + '_order'), with the missing part last; None where parts come from the data."""
         if self.type in ("set", "facet"):
-            rows = spark.createDataFrame([(p["name"], i) for i, p in enumerate(self._parts())], f"`{name}` string, `{name}_order` int")
+            # Values of the plan, whose small size is known, so that a cube's grid is made by broadcasts.
+            parts = [F.struct(F.lit(p["name"]).cast("string").alias(name), F.lit(i).alias(f"{name}_order")) for i, p in enumerate(self._parts())]
+            rows = spark.range(0, 1, 1, 1).select(F.inline(F.array(*parts))) if parts else spark.createDataFrame([], f"`{name}` string, `{name}_order` int")
         elif self.regular and self.min is not None and self.max is not None and self.interval != "month":
             lo, hi, step = self._bound(self.min), self._bound(self.max), self.step()
             n = max(0, -(-int(hi - lo) // int(step)) if step == int(step) else int((hi - lo) / step + 0.999999))
@@ -109,7 +111,7 @@ class Domain:
         else:
             return None
         if nulls:
-            last = spark.range(1).select(F.lit(None).cast(rows.schema[0].dataType).alias(name), F.lit(2**31 - 1).alias(f"{name}_order"))
+            last = spark.range(0, 1, 1, 1).select(F.lit(None).cast(rows.schema[0].dataType).alias(name), F.lit(2**31 - 1).alias(f"{name}_order"))
             rows = rows.unionByName(last)
         return rows
 

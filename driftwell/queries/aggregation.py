@@ -9,6 +9,9 @@ from ..operators import aggregates, groups
 from .language import engine
 from .registry import Tables, query
 
+aggregates.define("geometric", {"sum": lambda c: F.sum(F.ln(c)), "n": F.count}, lambda p: F.exp(p["sum"] / F.nullif(p["n"], F.lit(0))))
+aggregates.define("spread", {"high": F.max, "low": F.min}, lambda p: p["high"] - p["low"])
+
 
 @query("""SELECT count(*) AS n, count(v) AS c, round(sum(v), 4) AS s, max(v) AS hi, min(v) AS lo, round(avg(v), 6) AS m, round(sum(v * v), 2) AS x2,
   round(stddev_pop(v), 6) AS sd, round(var_pop(v), 4) AS var FROM (SELECT nullif(value, 0) AS v FROM events)""")
@@ -126,6 +129,18 @@ def null_tolerant_sum(t: Tables) -> DataFrame:
     return t.events.select("event_id", aggregates.null_add(a, b).alias("total"))
 
 
+@query("""SELECT event_type, round(exp(avg(ln(value + 1))), 6) AS g, round(max(value) - min(value), 6) AS spread FROM events GROUP BY 1""")
+def aggregate_own(t: Tables) -> DataFrame:
+    select = [{"name": "g", "value": {"script": "value + 1"}, "aggregate": "geometric"}, {"name": "spread", "value": "value", "aggregate": "spread"}]
+    return engine(t, "events").run({"from": "events", "edges": ["event_type"], "select": select}).withColumns({"g": F.round("g", 6), "spread": F.round("spread", 6)})
+
+
+@query("""SELECT event_id, round(max(value) OVER w - min(value) OVER w, 6) AS spread FROM events WINDOW w AS (PARTITION BY user_id, event_type ORDER BY ts, event_id ROWS BETWEEN 5 PRECEDING AND CURRENT ROW)""")
+def window_own(t: Tables) -> DataFrame:
+    window = {"name": "spread", "value": "value", "aggregate": "spread", "edges": ["user_id", "event_type"], "sort": ["ts", "event_id"], "range": {"min": -5, "max": 1}}
+    return engine(t, "events").run({"from": "events", "select": ["event_id", "spread"], "window": [window]}).withColumn("spread", F.round("spread", 6))
+
+
 @query("""SELECT user_id, run, event_type, count(*) AS n FROM (SELECT *, sum(chg) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS run FROM
   (SELECT *, CASE WHEN lag(event_id) OVER w IS NULL OR event_type IS NOT DISTINCT FROM lag(event_type) OVER w THEN 0 ELSE 1 END AS chg FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)))
   GROUP BY ALL""")

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from driftwell.functions import conversions, jsons, special, stats, strings, templates, times
 from driftwell.functions.durations import DAY, WEEK, Duration
-from driftwell.operators import groups, sets, windows
+from driftwell.operators import aggregates, groups, sets, windows
 
 
 def test_beta_brackets(spark):
@@ -111,3 +111,26 @@ def test_groups_sets_holes(spark):
     assert [tuple(r) for r in windows.holes(df.limit(0), "v", 0, 10).collect()] == [(0, 10)]
     with pytest.raises(ValueError, match="duplicate key"):
         sets.check_unique(spark.createDataFrame([(1,), (1,)], "k int"), ["k"])
+
+
+def test_own_aggregates(spark):
+    name = "mean_of_squares"
+    aggregates.define(name, {"x": lambda c: F.sum(c * c), "n": F.count}, lambda p: p["x"] / F.nullif(p["n"], F.lit(0)))
+    try:
+        df = spark.createDataFrame([("a", 1.0), ("a", 3.0), ("a", None), ("b", None)], "k string, v double")
+        got = {r["k"]: r["m"] for r in df.groupBy("k").agg(aggregates.aggregate(name, F.col("v")).alias("m")).collect()}
+        assert got == {"a": 5.0, "b": None}
+        for taken in (name, "sum"):
+            with pytest.raises(ValueError):
+                aggregates.define(taken, {}, lambda p: F.lit(0))
+    finally:
+        del aggregates.OWN[name]
+
+
+def test_trimmed_frames(spark):
+    df = spark.createDataFrame([([5.0, 1.0, 3.0, 100.0, 2.0],), ([1.0],), ([],), ([2.0, 4.0],)], "v array<double>")
+    got = [r[0].asDict() for r in df.select(aggregates.trimmed(F.col("v"), 0.6)).collect()]
+    assert [g["count"] for g in got] == [3.0, 0.0, 0.0, 0.0]
+    assert got[0]["mean"] == pytest.approx(10 / 3) and got[0]["variance"] == pytest.approx(14 / 9)
+    whole = df.select(aggregates.trimmed(F.col("v"), 1.0)).collect()
+    assert [r[0]["count"] for r in whole] == [5.0, 1.0, 0.0, 2.0] and whole[3][0]["mean"] == 3.0
