@@ -60,17 +60,26 @@ def _median(s: Column, simple: bool, mean_weight: float) -> Column:
     return F.when(n > 0, F.when(apart, plain).when(run > 1, inside).otherwise(single))
 
 
+def _share(x: Column, cut: Column, resolution: float) -> Column:
+    """How much of a value lies below the cut, from 0 to 1."""
+    x = x.cast("double")
+    if resolution == 0:
+        return F.when(x < cut, F.lit(1.0)).when(x > cut, F.lit(0.0)).otherwise(F.lit(0.5))
+    return F.least(F.lit(1.0), F.greatest(F.lit(0.0), (cut - x) / F.lit(resolution) + F.lit(0.5)))
+
+
+def counts_around(value: Column, cut: Column, resolution: float = 1.0) -> Column:
+    """``count_partition`` as an aggregate over rows: sums that are taken before the shuffle, so that no group is gathered.
+    Missing values count on neither side."""
+    below = F.coalesce(F.sum(F.when(value.isNotNull(), _share(value, cut, resolution))), F.lit(0.0))
+    return F.struct(below.alias("below"), (F.count(value) - below).alias("above"))
+
+
 def count_partition(samples: Column, cut: Column, resolution: float = 1.0) -> Column:
     """struct below, above: a value within half a resolution of the cut is split in proportion. Resolution 0 counts a
     value equal to the cut half and half."""
-    def share(x: Column, c: Column) -> Column:
-        x = x.cast("double")
-        if resolution == 0:
-            return F.when(x < c, F.lit(1.0)).when(x > c, F.lit(0.0)).otherwise(F.lit(0.5))
-        return F.least(F.lit(1.0), F.greatest(F.lit(0.0), (c - x) / F.lit(resolution) + F.lit(0.5)))
-
     # The cut goes along with each value, so that it is computed once.
-    shares = F.zip_with(samples, F.array_repeat(cut, F.size(samples)), share)
+    shares = F.zip_with(samples, F.array_repeat(cut, F.size(samples)), lambda x, c: _share(x, c, resolution))
     below = F.aggregate(shares, F.lit(0.0), lambda a, x: a + x)
     return F.struct(below.alias("below"), (F.size(samples) - below).alias("above"))
 
@@ -84,13 +93,17 @@ def chi_square(observed: Column, expected: Column) -> Column:
 def median_test_statistic(a: Column, b: Column, interpolate: bool = True) -> Column:
     """Chi-square of both samples' counts below and above the pooled median; 0 with fewer than three values on a side."""
     resolution = 1.0 if interpolate else 0.0
-    half = lambda s: F.size(s) / F.lit(2.0)
-    term = lambda below, n: (below - n) * (below - n) * 2 / n  # noqa: E731  the counts above deviate as much as those below
-
     pooled = median(F.concat(a, b), simple=not interpolate, mean_weight=0.5)
     p, q = count_partition(a, pooled, resolution), count_partition(b, pooled, resolution)
-    out = term(p["below"], half(a)) + term(q["below"], half(b))
-    return F.when((F.size(a) < 3) | (F.size(b) < 3), F.lit(0.0)).otherwise(out)
+    return counts_statistic(p, q)
+
+
+def counts_statistic(p: Column, q: Column) -> Column:
+    """The same of both samples' counts (struct below, above), which an aggregate may have given."""
+    size = lambda s: s["below"] + s["above"]
+    half = lambda s: size(s) / F.lit(2.0)
+    term = lambda s: (s["below"] - half(s)) * (s["below"] - half(s)) * 2 / half(s)  # noqa: E731  the counts above deviate as much as those below
+    return F.when((size(p) < 3) | (size(q) < 3), F.lit(0.0)).otherwise(term(p) + term(q))
 
 
 def median_test(a: Column, b: Column, interpolate: bool = True) -> Column:

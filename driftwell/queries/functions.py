@@ -94,10 +94,34 @@ def stats_median(t: Tables) -> DataFrame:
     return t.events.groupBy("user_id").agg(F.collect_list("value").alias("v")).select("user_id", stats.median(F.col("v")).alias("m"), F.size("v").cast("long").alias("n"))
 
 
-@query("""SELECT v AS name, round(sum(CASE WHEN below THEN 1 ELSE 0 END), 3) AS below FROM (SELECT event_type AS v, value < 50 AS below FROM events WHERE value <> 50) GROUP BY 1""")
+@query("""SELECT event_type AS name, round(sum(CASE WHEN value < 50 THEN 1.0 WHEN value = 50 THEN 0.5 ELSE 0 END)::DOUBLE, 3) AS below, round(count(value) - sum(least(1, greatest(0, 50 - value + 0.5))), 3) AS above_ FROM events GROUP BY 1""")
 def stats_partition(t: Tables) -> DataFrame:
-    v = t.events.filter("value <> 50").groupBy(F.col("event_type").alias("name")).agg(F.collect_list("value").alias("v"))
-    return v.select("name", F.round(stats.count_partition(F.col("v"), F.lit(50.0), 0)["below"], 3).alias("below"))
+    """Values around 50: equal ones half and half, and split in proportion within half a unit."""
+    around = lambda resolution: stats.counts_around(F.col("value"), F.lit(50.0), resolution)
+    v = t.events.groupBy(F.col("event_type").alias("name")).agg(around(0)["below"].alias("b"), around(1.0)["above"].alias("a"))
+    return v.select("name", F.round("b", 3).alias("below"), F.round("a", 3).alias("above_"))
+
+
+#: Per user the interpolated median of values in steps of 20: the SQL of both queries below. ``{w}``: how much the neighbours of a single middle count.
+INTERPOLATED = """(SELECT user_id, CASE WHEN n % 2 = 0 AND s[n // 2] <> mid THEN (s[n // 2] + mid) / 2 WHEN run > 1 THEN mid + (n / 2.0 - below) / run - 0.5
+    WHEN n % 2 = 1 AND n > 1 THEN mid * (1 - {w}) + (s[n // 2] + s[n // 2 + 2]) / 2 * {w} ELSE mid END AS med
+  FROM (SELECT *, len(list_filter(s, lambda x: x < mid)) AS below, len(list_filter(s, lambda x: x = mid)) AS run FROM
+    (SELECT *, s[n // 2 + 1] AS mid FROM (SELECT user_id, list_sort(list(floor(value / 20))) AS s, count(*) AS n FROM events GROUP BY 1))))"""
+
+
+@query(f"""SELECT user_id, round(med, 6) AS med FROM {INTERPOLATED.format(w=0.25)}""")
+def stats_median_interpolated(t: Tables) -> DataFrame:
+    v = t.events.groupBy("user_id").agg(F.collect_list(F.floor(F.col("value") / 20).cast("double")).alias("v"))
+    return v.select("user_id", F.round(stats.median(F.col("v"), simple=False, mean_weight=0.25), 6).alias("med"))
+
+
+@query(f"""SELECT user_id, CASE WHEN na < 3 OR nb < 3 THEN 0 ELSE round((pa - na / 2) ** 2 * 2 / (na / 2) + (pb - nb / 2) ** 2 * 2 / (nb / 2), 6) END AS chi2 FROM
+  (SELECT user_id, coalesce(sum(share) FILTER (side), 0) AS pa, coalesce(sum(share) FILTER (NOT side), 0) AS pb, count(*) FILTER (side)::DOUBLE AS na, count(*) FILTER (NOT side)::DOUBLE AS nb FROM
+    (SELECT user_id, event_id % 2 = 0 AS side, least(1, greatest(0, med - floor(value / 20) + 0.5)) AS share FROM events JOIN {INTERPOLATED.format(w=0.5)} m USING (user_id)) GROUP BY 1)""")
+def stats_median_test_interpolated(t: Tables) -> DataFrame:
+    side = lambda s: F.collect_list(F.when(F.col("event_id") % 2 == s, F.floor(F.col("value") / 20).cast("double")))
+    both = t.events.groupBy("user_id").agg(side(0).alias("a"), side(1).alias("b"))
+    return both.select("user_id", F.round(stats.median_test_statistic(F.col("a"), F.col("b")), 6).alias("chi2"))
 
 
 @query("""SELECT a.user_id AS x, round((pa - na / 2) ** 2 * 2 / (na / 2) + (pb - nb / 2) ** 2 * 2 / (nb / 2), 6) AS chi2 FROM
@@ -131,9 +155,14 @@ def stats_failure_rate(t: Tables) -> DataFrame:
 @query()
 def stats_confidence(t: Tables) -> DataFrame:
     """Confidence of one-sided and median tests: the distribution functions have no SQL."""
-    s = t.events.groupBy("event_type").agg(power_sums(F.col("value")).alias("s"), F.max("value").alias("hi"), F.collect_list(F.when(F.col("user_id") < 50, F.col("value"))).alias("a"), F.collect_list(F.when(F.col("user_id") >= 50, F.col("value"))).alias("b"))
-    s = s.withColumn("m", summary(F.col("s")))
-    return s.select("event_type", stats.single_t(F.col("hi"), F.col("m")).alias("one"), stats.median_test(F.col("a"), F.col("b"), interpolate=False).alias("two")).select("event_type", F.col("one.confidence").alias("one"), F.col("two.confidence").alias("two"))
+    s = t.events.groupBy("event_type").agg(power_sums(F.col("value")).alias("s"), F.max("value").alias("hi"), F.median("value").alias("cut"))
+    # A row per event type goes back to the events; counts around the median replace both samples.
+    near = t.events.join(F.broadcast(s.select("event_type", "cut")), "event_type")
+    side = lambda inside: stats.counts_around(F.when(inside, F.col("value")), F.col("cut"), 0)
+    counts = near.groupBy("event_type").agg(side(F.col("user_id") < 50).alias("a"), side(F.col("user_id") >= 50).alias("b"))
+    both = s.withColumn("m", summary(F.col("s"))).join(counts, "event_type")
+    two = stats.chi2_confidence(stats.counts_statistic(F.col("a"), F.col("b")))
+    return both.select("event_type", stats.single_t(F.col("hi"), F.col("m"))["confidence"].alias("one"), two.alias("two"))
 
 
 @query("""SELECT event_id, (date_trunc('day', ts) - INTERVAL 1 DAY * dayofweek(ts))::TIMESTAMP AS week, date_trunc('month', ts)::TIMESTAMP AS month, (ts + INTERVAL 3 MONTH)::TIMESTAMP AS later, round((epoch_us(ts) - 1702080000000000) / 86400000000.0, 6) AS days,

@@ -134,3 +134,13 @@ def test_trimmed_frames(spark):
     assert got[0]["mean"] == pytest.approx(10 / 3) and got[0]["variance"] == pytest.approx(14 / 9)
     whole = df.select(aggregates.trimmed(F.col("v"), 1.0)).collect()
     assert [r[0]["count"] for r in whole] == [5.0, 1.0, 0.0, 2.0] and whole[3][0]["mean"] == 3.0
+
+
+def test_counts_around_agree_with_arrays(spark):
+    df = spark.createDataFrame([(k, float(v % 7)) for k in ("a", "b") for v in range(20)] + [("a", None), ("c", None)], "k string, v double")
+    for resolution in (0, 1.0, 2.5):
+        by_rows = df.groupBy("k").agg(stats.counts_around(F.col("v"), F.lit(3.2), resolution).alias("c"))
+        by_array = df.groupBy("k").agg(F.collect_list("v").alias("v")).select("k", stats.count_partition(F.col("v"), F.lit(3.2), resolution).alias("c"))
+        want = {r["k"]: r["c"] for r in by_array.collect()}
+        for r in by_rows.collect():
+            assert tuple(r["c"]) == pytest.approx(tuple(want[r["k"]]))
