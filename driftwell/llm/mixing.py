@@ -6,11 +6,13 @@ and the order is truncated where the total budget is used up. Sources that the b
 at most.
 
 Sums run in two steps, totals of hash buckets first and rows of one bucket second, so a source with a third of all rows
-is spread over as many tasks as the others together. The global order is cut into ranges of finish time; only the one
-range in which the budget ends is sorted row by row.
+is spread over as many tasks as the others together. The global order is cut into ranges of finish time; the one range in
+which the budget ends is cut again, twice, and only what is left is sorted row by row: a source has at most weight x width
+documents there, as its finish times lie at least 1 / weight apart.
 
-Edge cases: a null text has size 0 and is never taken; a null source is a source of its own and comes last; a table with
-no words gives targets of 0; repeated rows are separate documents; other columns are ignored.
+Edge cases: a null text has size 0 and is never taken; a null source is a source of its own and comes last; a null id
+is an ordinary value; long texts are counted whole; a table with no words gives targets of 0; repeated rows are separate
+documents; rows equal in id and size are ordered by a hash of the text; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -50,6 +52,26 @@ def targets(sizes: DataFrame, passes: int = PASSES) -> DataFrame:
     )
 
 
+def narrowed(items: DataFrame, at: DataFrame, stash: Stash, name: str) -> tuple[DataFrame, DataFrame]:
+    """The items of the one range of finish times in which the budget ends, and that range as the next to be divided.
+
+    ``at`` (one row): where the ranges start, how wide they are, the words before them, the budget.
+    """
+    number = F.greatest(F.lit(0), F.least(F.floor((F.col("finish") - F.col("low")) / F.col("step")), F.lit(RANGES)))
+    ranged = items.crossJoin(F.broadcast(at)).withColumn("range", number)
+    totals = ranged.groupBy("range", "low", "step", "before", "budget").agg(F.sum("size").alias("words"))
+    running = W.orderBy("range").rowsBetween(W.unboundedPreceding, 0)
+    last = (
+        totals.withColumn("after", F.col("before") + F.sum("words").over(running))
+        .filter("after >= budget")
+        .agg(F.min(F.struct("range", "low", "step", (F.col("after") - F.col("words")).alias("before"), "budget")).alias("last"))
+        .select("last.*")
+    )
+    last = stash.keep(last, f"{name}_range")
+    kept = stash.keep(ranged.select("size", "mix_key", "finish", "range").join(F.broadcast(last.select("range")), "range").drop("range"), name)
+    return kept, last.select((F.col("low") + F.col("range") * F.col("step")).alias("low"), (F.col("step") / RANGES).alias("step"), "before", "budget")
+
+
 def mix(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source", passes: int = PASSES) -> DataFrame:
     """key, size, source_size, target, taken, passes (whole passes of the document that the mix takes), source."""
     stash = Stash(docs.sparkSession, "mixing")
@@ -69,7 +91,7 @@ def mix(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str =
     placed = starts.join(goal.alias("g"), F.col("b.source").eqNullSafe(F.col("g.source"))).select(
         "b.source", "bucket", "start", "source_size", "weight", "level", "target"
     )
-    within = W.partitionBy("source", "bucket").orderBy("mix_key").rowsBetween(W.unboundedPreceding, 0)
+    within = W.partitionBy("source", "bucket").orderBy("mix_key", "text_hash").rowsBetween(W.unboundedPreceding, 0)
     summed = rows.withColumn("inside", F.sum("size").over(within)).alias("r")
     both = F.col("r.source").eqNullSafe(F.col("b.source")) & (F.col("r.bucket") == F.col("b.bucket"))
     queued = stash.keep(
@@ -79,21 +101,15 @@ def mix(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str =
         "queued",
     )
     finish = lambda r: ((F.col("source_size") * r + F.col("upto")) / F.col("weight")).cast("double")
-    items = queued.select("size", "mix_key", "level", F.explode(F.array(*[finish(r) for r in range(passes)])).alias("finish")).filter("size > 0")
-    ranged = items.withColumn("range", F.least(F.floor(F.col("finish") / F.col("level") * F.lit(RANGES // 2)), F.lit(RANGES)))
-    budget = goal.agg(F.sum("source_size").alias("budget"))
-    totals = ranged.groupBy("range").agg(F.sum("size").alias("words"))
-    running = W.orderBy("range").rowsBetween(W.unboundedPreceding, 0)
-    last = (
-        totals.withColumn("after", F.sum("words").over(running))
-        .crossJoin(F.broadcast(budget))
-        .filter("after >= budget")
-        .agg(F.min(F.struct("range", (F.col("after") - F.col("words")).alias("before"), "budget")).alias("last"))
-        .select("last.*")
+    items = queued.select("size", "mix_key", F.explode(F.array(*[finish(r) for r in range(passes)])).alias("finish")).filter("size > 0")
+    at = goal.agg(
+        F.lit(0.0).alias("low"), (F.max("level") * 2 / RANGES).alias("step"), F.lit(0).cast("long").alias("before"), F.sum("source_size").alias("budget")
     )
+    for name in ("first", "second", "third"):
+        items, at = narrowed(items, at, stash, name)
     in_order = W.orderBy("finish", "mix_key").rowsBetween(W.unboundedPreceding, 0)
     cut = (
-        ranged.join(F.broadcast(last), "range")
+        items.crossJoin(F.broadcast(at))
         .withColumn("sum", F.col("before") + F.sum("size").over(in_order))
         .select(
             # The whole range may exceed the budget at its first document: then the order ends just before the range.
@@ -115,8 +131,10 @@ def mix(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str =
 
 def mixed(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
     """The mix as rows: each document as often as it is taken, columns as in ``docs``."""
-    taken = mix(docs, key, text, source).groupBy(F.col(key).alias("k"), F.col("text_hash").alias("h")).agg(F.sum("passes").cast("int").alias("n")).filter("n > 0")
-    # Rows equal in id and text are alike; one of them stands for all their passes.
-    one = docs.withColumn("h_", F.xxhash64(text)).dropDuplicates([key, "h_"]).alias("d")
-    rows = one.join(taken.alias("t"), F.col(f"d.{key}").eqNullSafe(F.col("t.k")) & (F.col("d.h_") == F.col("t.h")))
+    same = [F.col(key).alias("k"), F.col(source).alias("s"), F.col("text_hash").alias("h")]
+    taken = mix(docs, key, text, source).groupBy(*same).agg(F.sum("passes").cast("int").alias("n")).filter("n > 0")
+    # Rows equal in id, source and text are alike; one of them stands for all their passes.
+    one = docs.withColumn("h_", F.xxhash64(text)).dropDuplicates([key, source, "h_"]).alias("d")
+    pair = F.col(f"d.{key}").eqNullSafe(F.col("t.k")) & F.col(f"d.{source}").eqNullSafe(F.col("t.s")) & (F.col("d.h_") == F.col("t.h"))
+    rows = one.join(taken.alias("t"), pair)
     return rows.select(*[F.col(f"d.{c}") for c in docs.columns], F.explode(F.sequence(F.lit(1), F.col("t.n"))).alias("pass_")).drop("pass_")

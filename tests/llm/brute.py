@@ -56,6 +56,29 @@ def targets(sizes: dict) -> dict:
         capped |= {s: 3.0 * sizes[s] for s in over}
 
 
+def mix(rows: list[tuple]) -> dict:
+    """Passes by id, from (id, source, text): whole documents in order of virtual finish time until the budget ends."""
+    by, sizes = defaultdict(list), defaultdict(int)
+    for i, s, text in rows:
+        n = n_words(text)
+        sizes[s] += n
+        by[s].append((hashlib.md5(f"{i}#{n}".encode()).hexdigest(), n, i))
+    weight = {s: k % 3 + 1 for k, s in enumerate(sorted(sizes, key=lambda s: (s is None, s or "")))}
+    queue = []
+    for s, docs in by.items():
+        upto = 0
+        for key, n, i in sorted(docs):
+            upto += n
+            queue += [((sizes[s] * r + upto) / weight[s], key, n, i) for r in range(3) if n]
+    passes, left = {i: 0 for i, _, _ in rows}, sum(sizes.values())
+    for _, _, n, i in sorted(queue):
+        left -= n
+        if left < 0:
+            break
+        passes[i] += 1
+    return passes
+
+
 def crc(text: str | None) -> int:
     return zlib.crc32((text or "").encode())
 

@@ -99,12 +99,27 @@ def test_mixing(docs, none, spark):
     assert sum(sizes.values()) - biggest <= total <= sum(sizes.values())
     again = rows_of(mixing.mix(docs.repartition(7)), "doc_id")
     assert again == got
+    assert {i: r["passes"] for i, r in got.items()} == brute.mix([(i, None if i % 5 == 0 else f"s{i % 3}", t) for i, t in texts()])
     out = mixing.mixed(docs)
     assert out.columns == docs.columns and out.count() == sum(r["passes"] for r in got.values())
     assert mixing.mix(none).count() == 0 and mixing.mixed(none).count() == 0
     assert mixing.mix(table(spark, [(1, None), (2, " ")])).agg(F.sum("taken")).first()[0] == 0
 
 
+def test_mixing_many_and_alike(spark):
+    """Enough rows for all three divisions of the order; rows alike but for their source are all mixed."""
+    rng = random.Random(4)
+    rows = [(i, rng.choice(["a", "b", "b", "b", None]), " ".join("w" * (1 + rng.randrange(30)))) for i in range(3000)]
+    frame = spark.createDataFrame(rows, "doc_id long, source string, text string").repartition(5)
+    assert {r["doc_id"]: r["passes"] for r in mixing.mix(frame).collect()} == brute.mix(rows)
+    alike = spark.createDataFrame([(1, "a", "x y"), (1, "b", "x y"), (1, None, "x y"), (1, None, "x y")], "doc_id long, source string, text string")
+    want = {}
+    for r in mixing.mix(alike).collect():
+        want[r["source"]] = want.get(r["source"], 0) + r["passes"]
+    got = {r["source"]: r["count"] for r in mixing.mixed(alike).groupBy("source").count().collect()}
+    assert got == {k: n for k, n in want.items() if n} and sum(got.values()) > 1
+
+
 def test_sharding(docs, none, spark):
     many = table(spark, [(i, f"text {i} " * (i % 17)) for i in range(2000)] + [(i, "a copy of one text") for i in range(2000, 3000)] + [(None, None)] * 3)
     out = sharding.shard(many).collect()
@@ -203,6 +218,17 @@ def test_packing(docs, none):
     assert packing.pack(none, tokenizer_path()).count() == 0
 
 
+def test_packing_needs_few_sequences():
+    rng = random.Random(2)
+    for most in (5, 300, 1023):
+        counts = {}
+        for _ in range(3000):
+            n = rng.randint(1, most)
+            counts[n] = counts.get(n, 0) + 1
+        used = 1 + max(seq + k - 1 for _, _, k, seq, _ in packing.plan(counts, 1024, 1024, 1024 * 1024))
+        assert used <= 1.02 * -(-sum(n * k for n, k in counts.items()) // 1024) + 1
+
+
 def test_packing_plan_keeps_every_capacity():
     rng = random.Random(1)
     counts = {n: rng.randint(1, 9) for n in range(1, 200, 3)}
