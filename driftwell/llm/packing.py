@@ -31,7 +31,7 @@ from .common import Stash, ship
 
 TOKENS, END = 1024, 2
 #: Weights of the residual tokens, documents and attention cost in the norm.
-WEIGHTS = (1.0, 1e-3, 1e-3)
+WEIGHTS = (1.0, 1.0, 1.0)
 SALTS = 64
 
 PIECE = pa.schema([("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("crc", pa.int64()), ("salt", pa.int32())])
