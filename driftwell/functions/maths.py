@@ -40,7 +40,7 @@ def significant_digits(v: Column, digits: int) -> Column:
 
 
 def percent(v: Column, decimals: int = 0) -> Column:
-    return F.concat(F.format_number(v * 100, f"0.{'0' * decimals}" if decimals else "0"), F.lit("%"))
+    return F.concat(F.call_function("format_number", v * 100, F.lit(f"0.{'0' * decimals}" if decimals else "0")), F.lit("%"))
 
 
 def floor_to(v: Column, mod: float = 1) -> Column:
