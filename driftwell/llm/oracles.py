@@ -68,3 +68,42 @@ MIXING = r"""WITH d AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(t
   o AS (SELECT *, sum(size) OVER (ORDER BY finish, key ROWS UNBOUNDED PRECEDING) AS total FROM i),
   p AS (SELECT key, count(*) AS passes FROM o WHERE total <= (SELECT sum(size) FROM d) GROUP BY key)
   SELECT doc_id, size, source_size, target, size * coalesce(passes, 0)::BIGINT AS taken FROM q LEFT JOIN p USING (key)"""
+
+
+_FINITE = "embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0"
+#: Floored division of the sums ``s`` by the counts ``n``.
+_FLOORED = "((s - ((s % n) + n) % n) // n)::BIGINT"
+
+
+def _nearest(rows: str, centers: str) -> str:
+    """The nearest center of each row and part, ties to the smaller number, from (r, part, pos, v) and (part, entry, pos, v)."""
+    return f"""SELECT r, part, entry, d FROM (SELECT r, part, entry, sum((x.v - c.v) * (x.v - c.v))::BIGINT AS d FROM {rows} x JOIN {centers} c USING (part, pos) GROUP BY ALL)
+      QUALIFY row_number() OVER (PARTITION BY r, part ORDER BY d, entry) = 1"""
+
+
+def _rounds(n: int) -> str:
+    """Centers c1 to cn from c0, and the last assignment."""
+    steps = [
+        f"""a{i} AS MATERIALIZED ({_nearest('x', f'c{i}')}),
+      c{i + 1} AS MATERIALIZED (SELECT c.part, c.entry, c.pos, coalesce(m.v, c.v) AS v FROM c{i} c LEFT JOIN (SELECT part, entry, pos, {_FLOORED} AS v FROM (SELECT a.part, a.entry, x.pos, sum(x.v) AS s, count(*) AS n FROM a{i} a JOIN x USING (r, part) GROUP BY ALL)) m USING (part, entry, pos))"""
+        for i in range(n)
+    ]
+    return ",\n  ".join([*steps, f"a{n} AS MATERIALIZED ({_nearest('x', f'c{n}')})"])
+
+
+def vector_codes(rounds: int = 6) -> str:
+    return f"""WITH k AS MATERIALIZED (SELECT row_number() OVER (ORDER BY vec_id) AS r, vec_id, label, embedding::DOUBLE[] AS e, len(embedding) // 8 AS w FROM embeddings WHERE {_FINITE}),
+  x AS MATERIALIZED (SELECT r, (i - 1) // w AS part, (i - 1) % w AS pos, floor(4096 * e[i])::BIGINT AS v FROM (SELECT r, e, w, unnest(range(1, len(e) + 1)) AS i FROM k)),
+  c0 AS MATERIALIZED (SELECT part, r - 1 AS entry, pos, v FROM x WHERE r <= 16),
+  {_rounds(rounds)},
+  o AS (SELECT r, string_agg(printf('%02x', entry), '' ORDER BY part) AS code, sum(d)::BIGINT AS error FROM a{rounds} GROUP BY r)
+  SELECT vec_id, code, error, sum(error) OVER (PARTITION BY label)::BIGINT AS label_error, (SELECT sha256(string_agg(v::VARCHAR, ',' ORDER BY part, entry, pos)) FROM c{rounds}) AS codebooks_sha256 FROM k JOIN o USING (r)"""
+
+
+def centroid_clusters(rounds: int = 3) -> str:
+    return f"""WITH k AS MATERIALIZED (SELECT row_number() OVER (ORDER BY sha256('1:' || vec_id)) AS r, vec_id, embedding::DOUBLE[] AS e FROM embeddings WHERE {_FINITE} AND len(embedding) = 64),
+  x AS MATERIALIZED (SELECT r, 0 AS part, i AS pos, floor(64 * e[i])::BIGINT AS v FROM (SELECT r, e, unnest(range(1, 65)) AS i FROM k)),
+  c0 AS MATERIALIZED (SELECT part, r - 1 AS entry, pos, v FROM x WHERE r <= 16),
+  {_rounds(rounds)},
+  s AS (SELECT entry, sha256(string_agg(v::VARCHAR, ',' ORDER BY pos)) AS centroid_sha256 FROM c{rounds} GROUP BY entry)
+  SELECT vec_id, entry::INTEGER AS cluster, d AS distance, sum(d) OVER (PARTITION BY entry)::BIGINT AS cluster_inertia, sum(d) OVER ()::BIGINT AS inertia, centroid_sha256 FROM k JOIN a{rounds} USING (r) JOIN s USING (entry)"""

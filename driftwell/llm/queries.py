@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, jaccard, mixing, nearest, oracles, packing, secrets, sharding, suffixes, toxicity, vector_dedup
+from . import centroids, chat, jaccard, mixing, nearest, oracles, packing, secrets, sharding, suffixes, toxicity, vector_codes, vector_dedup
 from .common import table
 
 
@@ -61,6 +61,14 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(table(spark, sf_dir, "documents"))
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.compress(table(spark, sf_dir, "embeddings"))
+
+
+def op12_centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.cluster(table(spark, sf_dir, "embeddings"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_secret_scans": op1_secret_scans,
@@ -73,6 +81,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_jaccard_join": op8_jaccard_join,
         "op9_mixing": op9_mixing,
         "op10_sharding": op10_sharding,
+        "op11_vector_codes": op11_vector_codes,
+        "op12_centroid_clusters": op12_centroid_clusters,
     }
 
 
@@ -83,4 +93,6 @@ def oracle_sql() -> dict[str, str]:
         "op5_chat_formatting": oracles.chat_formatting(),
         "op8_jaccard_join": oracles.JACCARD_JOIN,
         "op9_mixing": oracles.MIXING,
+        "op11_vector_codes": oracles.vector_codes(),
+        "op12_centroid_clusters": oracles.centroid_clusters(),
     }

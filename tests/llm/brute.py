@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import re
 import zlib
 from collections import defaultdict
@@ -137,3 +138,60 @@ def suffix_dedup(docs: list[tuple], width: int) -> dict:
         spans = sum(g and (k == 0 or not gone[k - 1]) for k, g in enumerate(gone))
         out[i] = (len(r), sum(gone), spans, hashlib.sha256(kept).hexdigest())
     return out
+
+
+def integers(v: list, scale: int) -> list[int]:
+    most = int(math.sqrt(2.0**61 / max(1, len(v))) / 2)
+    return [max(-most, min(most, math.floor(float(scale) * x))) if abs(x) < 1e200 else int(math.copysign(most, x)) for x in v]
+
+
+def usable(v) -> bool:
+    return v is not None and all(x is not None and math.isfinite(x) for x in v)
+
+
+def closest(x: list[int], centers: list[list[int]]) -> tuple[int, int]:
+    d, k = min((sum((a - b) ** 2 for a, b in zip(x, c, strict=True)), k) for k, c in enumerate(centers))
+    return k, d
+
+
+def moved(xs: list[list[int]], centers: list[list[int]]) -> list[list[int]]:
+    by = defaultdict(list)
+    for x in xs:
+        by[closest(x, centers)[0]].append(x)
+    return [[sum(c) // len(by[k]) for c in zip(*by[k], strict=True)] if by[k] else old for k, old in enumerate(centers)]
+
+
+def vector_codes(rows: list[tuple], parts: int = 8, entries: int = 16, rounds: int = 6) -> list[tuple]:
+    """rows: vec_id, vector, label; vectors of one length, a multiple of the parts."""
+    kept = sorted(((i is None, i or 0, integers(v, 4096)), i, label) for i, v, label in rows if usable(v))
+    errors, codes, books = [0] * len(kept), [""] * len(kept), []
+    for p in range(parts):
+        w = len(kept[0][0][2]) // parts
+        xs = [k[2][p * w : p * w + w] for k, _, _ in kept]
+        book = [list(x) for x in xs[:entries]]
+        for _ in range(rounds):
+            book = moved(xs, book)
+        for n, x in enumerate(xs):
+            k, d = closest(x, book)
+            codes[n] += f"{k:02x}"
+            errors[n] += d
+        books += [v for c in book for v in c]
+    by = defaultdict(int)
+    for e, (_, _, label) in zip(errors, kept, strict=True):
+        by[label] += e
+    digest = sha(",".join(map(str, books)))
+    return [(i, c, e, by[label], digest) for (_, i, label), c, e in zip(kept, codes, errors, strict=True)]
+
+
+def centroid_clusters(rows: list[tuple], k: int = 16, rounds: int = 3, length: int = 64) -> list[tuple]:
+    """rows: vec_id, vector."""
+    kept = sorted(((i is None, sha(f"1:{i}"), integers(v, 64)), i) for i, v in rows if usable(v) and len(v) == length)
+    xs = [key[2] for key, _ in kept]
+    centers = xs[:k]
+    for _ in range(rounds):
+        centers = moved(xs, centers)
+    found = [closest(x, centers) for x in xs]
+    by = defaultdict(int)
+    for c, d in found:
+        by[c] += d
+    return [(i, c, d, by[c], sum(by.values()), sha(",".join(map(str, centers[c])))) for (_, i), (c, d) in zip(kept, found, strict=True)]
