@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import centroids, chat, jaccard, mixing, nearest, oracles, packing, secrets, sharding, suffixes, toxicity, vector_codes, vector_dedup
+from . import centroids, chat, jaccard, mixing, nearest, oracles, packing, personal, secrets, sharding, suffixes, toxicity, vector_codes, vector_dedup
 from .common import table
 
 
@@ -69,6 +69,10 @@ def op12_centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return centroids.cluster(table(spark, sf_dir, "embeddings"))
 
 
+def op13_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal.report(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_secret_scans": op1_secret_scans,
@@ -83,6 +87,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op10_sharding": op10_sharding,
         "op11_vector_codes": op11_vector_codes,
         "op12_centroid_clusters": op12_centroid_clusters,
+        "op13_personal_data": op13_personal_data,
     }
 
 
