@@ -77,8 +77,7 @@ def cluster(df: DataFrame, k: int = 16, rounds: int = 3, length: int = 64, scale
         ship(m)
     spark = df.sparkSession
     stash = Stash(spark, "centroids")
-    good = df.filter(screening.finite(vector) & (F.size(vector) == length)).select(F.col(key).alias("id"), screening.integers(vector, scale).alias("ints"))
-    kept = stash.keep(good, "kept")
+    kept = stash.keep(screening.kept(df, vector, scale, length, id=key), "kept")
     centers = starts(kept, k, seed)
     if not len(centers):
         return kept.selectExpr(f"id AS `{key}`", "0 AS cluster", "0L AS distance", "0L AS cluster_inertia", "0L AS inertia", "'' AS centroid_sha256")

@@ -6,41 +6,64 @@ vectors fits 64 bits and is exact.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import math
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: Unit roundoff of float32, components in one float32 product, rows screened at once.
 UNIT, BLOCK, ROWS = 2.0**-24, 4096, 4096
 
 
-def finite(vector: str) -> Column:
-    """Whether the vector is there and holds no null, NaN or infinite component."""
-    v = F.col(vector).cast("array<double>")
-    bad = F.exists(v, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
-    return ~F.coalesce(bad, F.lit(True))
+def limit(length: int) -> int:
+    return math.floor(math.sqrt(2.0**61 / max(1, length)) / 2)
 
 
-def integers(vector: str, scale: int) -> Column:
-    """floor(scale * x) of each component, as 32-bit integers."""
-    v = F.col(vector).cast("array<double>")
-    most = F.floor(F.sqrt(F.lit(2.0**61) / F.greatest(F.size(v), F.lit(1))) / 2)
-    return F.transform(v, lambda x: F.greatest(F.least(F.floor(x * F.lit(float(scale))), most), -most).cast("int"))
-
-
-def by_length(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """(length, rows, their vectors as a matrix of int64) of the lists in a batch."""
-    sizes = pc.list_value_length(column).to_numpy(zero_copy_only=False)
-    for size in np.unique(sizes):
+def lists(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(length, rows, their components as a matrix) of the lists in a batch that are not null; null components become NaN."""
+    sizes = pc.list_value_length(column).fill_null(-1).to_numpy(zero_copy_only=False)
+    for size in np.unique(sizes[sizes >= 0]):
         at = np.flatnonzero(sizes == size)
         for i in range(0, len(at), ROWS):
             some = at[i : i + ROWS]
-            flat = column.take(pa.array(some)).flatten().to_numpy(zero_copy_only=False)
-            yield int(size), some, flat.astype(np.int64).reshape(len(some), int(size))
+            yield int(size), some, column.take(pa.array(some)).flatten().to_numpy(zero_copy_only=False).reshape(len(some), int(size))
+
+
+def by_length(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    for size, at, x in lists(column):
+        yield size, at, x.astype(np.int64)
+
+
+def cut(scale: int, length: int | None = None) -> Callable:
+    """From (..., vec) the rows whose vectors are whole, and of the wanted length, with ``ints`` in place of ``vec``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            names = [n for n in batch.schema.names if n != "vec"]
+            for size, at, raw in lists(batch.column("vec")):
+                x = raw.astype(np.float64)
+                whole = np.isfinite(x).all(axis=1)
+                if length not in (None, size) or not whole.any():
+                    continue
+                with np.errstate(over="ignore"):  # a product beyond the doubles is infinite and meets the limit
+                    ints = np.clip(np.floor(x[whole] * float(scale)), -limit(size), limit(size)).astype(np.int32)
+                ends = pa.array(np.arange(len(ints) + 1, dtype=np.int32) * size)
+                kept = [batch.column(n).take(pa.array(at[whole])) for n in names]
+                yield pa.RecordBatch.from_arrays([*kept, pa.ListArray.from_arrays(ends, pa.array(ints.ravel()))], names=[*names, "ints"])
+
+    return run
+
+
+def kept(df: DataFrame, vector: str, scale: int, length: int | None = None, **others: str) -> DataFrame:
+    """The columns named in ``others`` and ``ints``, floor(scale * x) of each component, of all whole vectors."""
+    kind = dict(df.dtypes)[vector]
+    vec = F.col(vector) if kind in ("array<float>", "array<double>") else F.col(vector).cast("array<double>")
+    rows = df.select(*[F.col(c).alias(n) for n, c in others.items()], vec.alias("vec"))
+    return rows.mapInArrow(cut(scale, length), ", ".join([f"{n} {t}" for n, t in rows.dtypes if n != "vec"] + ["ints array<int>"]))
 
 
 def bounds(x: np.ndarray, c: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -122,8 +122,7 @@ def compress(df: DataFrame, key: str = "vec_id", vector: str = "embedding", labe
     for m in (screening, sys.modules[__name__]):
         ship(m)
     stash = Stash(df.sparkSession, "codes")
-    good = df.filter(screening.finite(vector)).select(F.col(key).alias("id"), F.col(label).alias("label"), screening.integers(vector, scale).alias("ints"))
-    kept = stash.keep(good, "kept")
+    kept = stash.keep(screening.kept(df, vector, scale, id=key, label=label), "kept")
     books = fit(kept, parts, entries, rounds)
     types = dict(kept.dtypes)
     schema = f"id {types['id']}, label {types['label']}, code string, error long, codebooks_sha256 string"

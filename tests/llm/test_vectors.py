@@ -5,7 +5,6 @@ import random
 import duckdb
 import numpy as np
 import pytest
-from pyspark.sql import functions as F
 
 from driftwell.llm import centroids, screening, vector_codes
 from driftwell.llm import queries as llm
@@ -84,7 +83,7 @@ def test_vector_codes_of_other_lengths(spark):
 
 def test_codes_stand_for_near_vectors(spark):
     rows = awkward(64)[:60]
-    kept = frame(spark, rows).select(F.col("vec_id").alias("id"), screening.integers("embedding", 4096).alias("ints"))
+    kept = screening.kept(frame(spark, rows), "embedding", 4096, id="vec_id")
     books = vector_codes.fit(kept)
     codes = {r["vec_id"]: r["code"] for r in vector_codes.compress(frame(spark, rows)).collect()}
     for i, v, _ in rows:
