@@ -94,6 +94,17 @@ def test_held_out_examples(contexts):
         assert y[mine][took].mean() > 0.97 and took[y[mine] == 1].mean() > 0.95, kind
 
 
+def test_contexts_are_those_of_the_smallest_hashes(spark, frame, monkeypatch):
+    """However many rows the first bound lets through: of 20 texts among 400 empty ones it lets through too few."""
+    sparse = frame.filter("doc_id < 1020").unionByName(frame.filter("doc_id >= 1020").selectExpr("doc_id", "'' AS text", "spans", "kind", "key", "score"))
+    for rows in (frame, sparse):
+        whole = personal.contexts(rows, "doc_id", "text")
+        for n in (1, 10, 15):
+            monkeypatch.setattr(personal, "SAMPLE", n)
+            assert personal.contexts(rows.repartition(3), "doc_id", "text") == whole[: n * personal.WINDOWS]
+        monkeypatch.undo()
+
+
 def test_overlaps():
     rng = random.Random(2)
     for _ in range(200):
