@@ -9,8 +9,8 @@ scan all documents.
 Matches are found leftmost and without overlaps per rule; a match whose group is too short is dropped after it was found,
 as its text is then used up. Offsets are code points, ends exclusive.
 
-Edge cases: a null text is empty; a null id is an ordinary value; repeated rows are reported once each; an empty table
-gives no rows; other columns are ignored.
+Edge cases: a null text is empty; a null id is an ordinary value; repeated rows are reported once each; a very long text is
+searched whole, in one task; an empty table gives no rows; other columns are ignored by ``report`` and kept by ``redact``.
 """
 
 from __future__ import annotations
@@ -104,9 +104,14 @@ def candidates(postings: DataFrame, grams: list[str], rules: tuple[Rule, ...] =
     return met.groupBy("key", "th").agg(F.collect_set("rule").alias("rules"))
 
 
-def scan(docs: DataFrame, key: str = "doc_id", text: str = "text", rules: tuple[Rule, ...] = RULES, keep: tuple[str, ...] = ()) -> DataFrame:
-    """key, the columns in ``keep``, spans: array of (start, kind, end) by start, then by the rules' order."""
-    keyed = docs.select(F.col(key).alias("key"), text_or_empty(text).alias("text"), F.xxhash64(text_or_empty(text)).alias("th"), F.struct(*[F.col(c) for c in keep], F.lit(0)).alias("kept"))
+def scan(docs: DataFrame, key: str = "doc_id", text: str = "text", rules: tuple[Rule, ...] = RULES) -> DataFrame:
+    """key, spans: array of (start, kind, end) by start, then by the rules' order."""
+    return scanned(docs, key, text, rules).select(F.col("key").alias(key), "spans")
+
+
+def scanned(docs: DataFrame, key: str, text: str, rules: tuple[Rule, ...] = RULES, keep: tuple[str, ...] = ()) -> DataFrame:
+    """key, kept, spans; ``kept`` is a struct of the columns in ``keep``, whose names can clash with nothing there."""
+    keyed = docs.select(F.col(key).alias("key"), text_or_empty(text).alias("text"), F.xxhash64(text_or_empty(text)).alias("th"), F.struct(F.lit(0), *[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(keep)]).alias("kept"))
     # Written, so that the join is planned by the candidates' true size: few are broadcast, and no text is shuffled.
     stash = Stash(docs.sparkSession, "secrets")
     postings, grams = index(keyed, rules)
@@ -126,7 +131,7 @@ def scan(docs: DataFrame, key: str = "doc_id", text: str = "text", rules: tuple[
         ]
     cut = joined.select("key", "kept", *parts)
     spans = F.concat(*[_spans(rule, i, f"pieces{i}", f"found{i}", f"groups{i}") for i, rule in enumerate(rules)])
-    return cut.select(F.col("key").alias(key), *[F.col(f"kept.{c}").alias(c) for c in keep], F.array_sort(spans).alias("spans"))
+    return cut.select("key", "kept", F.array_sort(spans).alias("spans"))
 
 
 def written(spans: Column, rules: tuple[Rule, ...] = RULES) -> Column:
@@ -149,16 +154,16 @@ def redact(docs: DataFrame, text: str = "text") -> DataFrame:
 
     Overlapping spans of different rules become one, named after the first.
     """
-    others = tuple(c for c in docs.columns if c != "doc_id")
-    found = scan(docs, keep=others)
+    found = scanned(docs, "doc_id", text, keep=tuple(docs.columns))
+    raw = F.col(f"kept.c{docs.columns.index(text)}")
     kinds = F.array(*[F.lit(r.kind) for r in RULES])
     start = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out"))
 
     def step(state: Column, s: Column) -> Column:
-        gap = F.substr(F.col(text), state["at"] + 1, F.greatest(s["start"] - state["at"], F.lit(0)))
+        gap = F.substr(raw, state["at"] + 1, F.greatest(s["start"] - state["at"], F.lit(0)))
         add = F.concat(state["out"], F.array(gap, F.concat(F.lit("["), F.get(kinds, s["kind"]), F.lit("]"))))
         return F.struct(F.greatest(state["at"], s["end"]).alias("at"), F.when(s["start"] >= state["at"], add).otherwise(state["out"]).alias("out"))
 
-    done = F.aggregate("spans", start, step, lambda s: F.concat(s["out"], F.array(F.substr(F.col(text), s["at"] + 1, F.length(text)))))
-    clean = F.when(F.size("spans") > 0, F.array_join(done, "")).otherwise(F.col(text))
-    return found.select(*[clean.alias(c) if c == text else F.col(c) for c in docs.columns])
+    done = F.aggregate("spans", start, step, lambda s: F.concat(s["out"], F.array(F.substr(raw, s["at"] + 1, F.length(raw)))))
+    clean = F.when(F.size("spans") > 0, F.array_join(done, "")).otherwise(raw)
+    return found.select(*[(clean if c == text else F.col(f"kept.c{i}")).alias(c) for i, c in enumerate(docs.columns)])
