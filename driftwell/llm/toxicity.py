@@ -10,7 +10,7 @@ model is a few kilobytes and travels with the tasks; every text is scored whole.
 
 Edge cases: null and empty texts have zero features and get the score that the model gives to those; labels that are null
 or join no document are not used; an id with both labels counts as 1, an id with several texts stands for its smallest;
-without labels of both kinds all scores are 0; repeated rows get equal scores; other columns are ignored, but for one named
+without labels of both kinds all scores are 0; a null id has no label, is not held out and is scored like any other; repeated rows get equal scores; other columns are ignored, but for one named
 like the score, which is replaced.
 """
 
@@ -290,4 +290,4 @@ def score(docs: DataFrame, model: dict | None, text: str = "text", name: str = "
 
 def report(docs: DataFrame, labels: DataFrame) -> DataFrame:
     done = score(docs.select("doc_id", "text"), model_from(docs, labels))
-    return done.select("doc_id", (fold("doc_id") == 0).alias("held_out"), "score", F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"))
+    return done.select("doc_id", F.coalesce(fold("doc_id") == 0, F.lit(False)).alias("held_out"), "score", F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"))
