@@ -109,7 +109,7 @@ def put(forest, parts):
                     continue
                 many = parts.value[t, leaf[t]]
                 part = (kernels.mix(ids.astype(np.uint64)) % many.astype(np.uint64)).astype(np.int64)
-                yield pa.RecordBatch.from_pydict({"leaf": pa.array((t << 32) + leaf[t]), "part": pa.array(part), "id": batch.column("id"), "n": batch.column("n"), "vec": batch.column("vec"), "query": pa.array(np.zeros(len(ids), bool))})
+                yield pa.RecordBatch.from_pydict({"leaf": pa.array((t << 32) + leaf[t]), "part": pa.array(part), "id": batch.column("id"), "h": batch.column("h"), "n": batch.column("n"), "vec": batch.column("vec"), "query": pa.array(np.zeros(len(ids), bool))})
 
     return run
 
@@ -125,7 +125,7 @@ def ask(forest, parts, sizes, budget: float):
             for k in range(0, len(rows), 1 << 14):
                 at, leaf, part = zip(*rows[k : k + (1 << 14)], strict=True)
                 at = pa.array(at)
-                yield pa.RecordBatch.from_pydict({"leaf": pa.array(leaf), "part": pa.array(part), "id": batch.column("id").take(at), "n": batch.column("n").take(at), "vec": batch.column("vec").take(at), "query": pa.array(np.ones(len(at), bool))})
+                yield pa.RecordBatch.from_pydict({"leaf": pa.array(leaf), "part": pa.array(part), "id": batch.column("id").take(at), "h": batch.column("h").take(at), "n": batch.column("n").take(at), "vec": batch.column("vec").take(at), "query": pa.array(np.ones(len(at), bool))})
 
     return run
 
@@ -135,7 +135,7 @@ def rank(k: int):
         q, c = frame[frame["query"]], frame[~frame["query"]]
         out: list[tuple] = []
         if len(q) and len(c):
-            x, ids, n = np.stack(c["vec"].to_numpy()).astype(np.float64), c["id"].to_numpy(), c["n"].to_numpy()
+            x, ids, h, n = np.stack(c["vec"].to_numpy()).astype(np.float64), c["id"].to_numpy(), c["h"].to_numpy(), c["n"].to_numpy()
             size = vectors.norms(x)
             own = np.stack(q["vec"].to_numpy()).astype(np.float64)
             for i in range(0, len(q), 256):
@@ -147,14 +147,14 @@ def rank(k: int):
                     near = np.flatnonzero((s >= low - SLACK * np.sqrt(v @ v)) & (ids != qid))
                     exact = (x[near] * v).sum(axis=1) / (size[near] * vectors.norms(v[None])[0])
                     best = np.lexsort([ids[near], -exact])[:k]
-                    out += [(qid, ids[near][b], exact[b], n[near][b]) for b in best]
-        return pd.DataFrame(out, columns=["query_id", "vec_id", "score", "n"]).astype({"query_id": "int64", "vec_id": "int64", "score": "float64", "n": "int64"})
+                    out += [(qid, ids[near][b], h[near][b], exact[b], n[near][b]) for b in best]
+        return pd.DataFrame(out, columns=["query_id", "vec_id", "h", "score", "n"]).astype({"query_id": "int64", "vec_id": "int64", "h": "int64", "score": "float64", "n": "int64"})
 
     return run
 
 
 def found_in(good: DataFrame, total: int, queries: Column, k: int, key: str, share: float) -> DataFrame:
-    """query_id, vec_id, score from the leaves, for vectors of one length."""
+    """query_id, vec_id, h (the vector's hash), score from the leaves, for vectors of one length."""
     spark = good.sparkSession
     sample = good.orderBy(F.xxhash64("id"), "id").limit(SAMPLE).select("vec").toArrow()
     own = Forest(vectors.matrix(sample.column("vec")) if total else np.ones((1, 1)), total)
@@ -165,10 +165,10 @@ def found_in(good: DataFrame, total: int, queries: Column, k: int, key: str, sha
         sizes[r["leaf"] >> 32, r["leaf"] & 0xFFFFFFFF] = r["count"]
     held, parts = spark.sparkContext.broadcast(sizes), spark.sparkContext.broadcast(np.maximum(1, -(-sizes // PART)))
     kind = dict(good.dtypes)["vec"]
-    schema = f"leaf long, part long, id long, n long, vec {kind}, query boolean"
+    schema = f"leaf long, part long, id long, h long, n long, vec {kind}, query boolean"
     asked = good.withColumnRenamed("id", key).filter(queries).withColumnRenamed(key, "id").mapInArrow(ask(forest, parts, held, share * total), schema)
     both = good.mapInArrow(put(forest, parts), schema).unionByName(asked)
-    return both.groupBy("leaf", "part").applyInPandas(rank(k), "query_id long, vec_id long, score double, n long")
+    return both.groupBy("leaf", "part").applyInPandas(rank(k), "query_id long, vec_id long, h long, score double, n long")
 
 
 def nearest(df: DataFrame, queries: Column, k: int = 5, key: str = "vec_id", vector: str = "embedding", share: float = SHARE) -> DataFrame:
@@ -178,9 +178,9 @@ def nearest(df: DataFrame, queries: Column, k: int = 5, key: str = "vec_id", vec
     stash = Stash(df.sparkSession, "nearest")
     # Rows equal in id and vector go as one with their number.
     rows = vectors.usable(df, key, vector, stash).groupBy("id", F.xxhash64("vec").alias("h")).agg(F.first("vec").alias("vec"), F.count("*").alias("n"))
-    good = stash.keep(rows.select("id", "n", "vec"), "distinct")
+    good = stash.keep(rows.select("id", "h", "n", "vec"), "distinct")
     found = reduce(DataFrame.unionByName, [found_in(rows, total, queries, k, key, share) for rows, total in vectors.spaces(good)])
-    # A candidate comes from several trees; one that stands for n rows takes n ranks.
+    # A candidate comes from several trees, with its hash, as an id may have several vectors; one that stands for n rows takes n ranks.
     order = W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     each = F.explode(F.sequence(F.lit(1).cast("long"), F.least("n", F.lit(k).cast("long"))))
     return found.distinct().withColumn("copy", each).withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
