@@ -25,6 +25,27 @@ BINS = 4096
 #: A shard holds at least so many units of equal texts; heavier groups are split.
 GRAIN = 1000
 SLOT_BINS = 1024
+#: About so many equal rows are numbered in one task.
+CHUNK = 4096
+
+
+def numbered(rows: DataFrame, stash: Stash) -> DataFrame:
+    """``rows`` with ``dh``, the hash of id, text and, among rows equal in both, of a number from 0 on.
+
+    Which of the equal rows gets which number depends on the files, but they are interchangeable, and the hashes are the same
+    under every split. Many equal rows are numbered in chunks, after a prefix sum of the chunks' sizes.
+    """
+    again = stash.keep(rows.groupBy("key", "th").agg(F.count("*").alias("n")).filter("n > 1"), "again").alias("a")
+    same = F.col("r.key").eqNullSafe(F.col("a.key")) & (F.col("r.th") == F.col("a.th"))
+    alone = rows.alias("r").join(again, same, "left_anti").withColumn("dh", F.xxhash64("key", "th"))
+    chunk = F.pmod(F.xxhash64("r.rid"), F.ceil(F.col("a.n") / CHUNK))
+    equal = stash.keep(rows.alias("r").join(again, same).select("r.*", chunk.alias("chunk")), "equal")
+    sizes = equal.groupBy("key", "th", "chunk").agg(F.count("*").alias("n"))
+    before = W.partitionBy("key", "th").orderBy("chunk").rowsBetween(W.unboundedPreceding, 0)
+    bases = stash.keep(sizes.select("key", "th", "chunk", (F.sum("n").over(before) - F.col("n")).alias("base")), "bases").alias("b")
+    mine = F.row_number().over(W.partitionBy("key", "th", "chunk").orderBy("rid"))
+    placed = equal.withColumn("own", mine).alias("r").join(bases, F.col("r.key").eqNullSafe(F.col("b.key")) & (F.col("r.th") == F.col("b.th")) & (F.col("r.chunk") == F.col("b.chunk")))
+    return alone.unionByName(placed.select("r.key", "size", "crc", "r.th", "rid", F.xxhash64("r.key", "r.th", F.col("base") + F.col("own")).alias("dh")))
 
 
 def shard(docs: DataFrame, shards: int = 8, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -44,10 +65,7 @@ def shard(docs: DataFrame, shards: int = 8, key: str = "doc_id", text: str = "te
         ),
         "rows",
     )
-    # Only rows equal in id and text, which are interchangeable, are told apart by where they stand in the files.
-    again = stash.keep(rows.groupBy("key", "th").agg(F.count("*").alias("n")).filter("n > 1"), "again").alias("a")
-    same = F.col("r.key").eqNullSafe(F.col("a.key")) & (F.col("r.th") == F.col("a.th"))
-    rows = rows.alias("r").join(again, same, "left").select("r.*", F.xxhash64("r.key", "r.th", F.when(F.col("a.n") > 1, F.col("rid"))).alias("dh"))
+    rows = numbered(rows, stash)
     total = rows.agg(F.coalesce(F.sum("size"), F.lit(0)).alias("total"))
     most = F.col("total") / F.lit(shards * GRAIN)
     # Groups over the grain number at most shards * GRAIN, since their sizes sum to no more than the total.

@@ -136,6 +136,70 @@ def test_sharding(docs, none, spark):
     assert sharding.shard(none).count() == 0
 
 
+def test_slots_do_not_depend_on_files(spark, monkeypatch):
+    """Rows equal in id and text change places among themselves only, however many there are and however they are numbered."""
+    frame = table(spark, [(7, "the same row")] * 400 + [(None, None)] * 30 + [(100 + i, f"row {i}") for i in range(100)])
+    seen = set()
+    for parts, chunk in ((1, 4096), (3, 4096), (7, 16), (7, 1)):
+        monkeypatch.setattr(sharding, "CHUNK", chunk)
+        out = sharding.shard(frame.repartition(parts)).collect()
+        seen.add(tuple(sorted((str(r["doc_id"]), r["shard"], r["slot"]) for r in out)))
+        for shard in {r["shard"] for r in out}:
+            assert sorted(r["slot"] for r in out if r["shard"] == shard) == list(range(sum(r["shard"] == shard for r in out)))
+    assert len(seen) == 1 and len(next(iter(seen))) == 530
+
+
+def test_redact_keeps_columns_of_any_name(spark):
+    names = ("doc_id", "text", "spans", "pieces0", "found1", "groups2", "kept", "key", "th", "rules", "a.b", "at", "out")
+    frame = spark.createDataFrame([(1, "token: abcdefgh, ok", *[f"v{i}" for i in range(11)]), (None, None, *[None] * 11)], ", ".join(f"`{n}` {'long' if n == 'doc_id' else 'string'}" for n in names))
+    clean = secrets.redact(frame)
+    assert clean.columns == list(names)
+    assert {tuple(r) for r in clean.collect()} == {(1, "[assign], ok", *[f"v{i}" for i in range(11)]), (None, None, *[None] * 11)}
+
+
+def test_toxicity_features():
+    """Features of a few texts from their definitions, word by word and character by character."""
+    import pyarrow as pa
+
+    told = ["", "You are HORRIBLE!!", "a sl0w, b-ad word; yours", "x" * 5 + " your horrible day in the long grass of horrible", None]
+    known = toxicity._known(("horrible", "yours"))
+    got = toxicity.features(pa.array(told), (known, np.array([3.0, 5.0])[np.argsort([toxicity._known(("horrible",))[0], toxicity._known(("yours",))[0]])]))
+    for row, text in zip(got, told, strict=True):
+        text = text or ""
+        words = "".join(c if c.isalnum() else " " for c in text.lower()).split()
+        n, b = max(1, len(words)), max(1, len(text))
+        hit = [w in ("horrible", "yours") for w in words]
+        you = [w in toxicity.SECOND_PERSON for w in words]
+        near = [h and any(you[max(0, i - toxicity.NEAR) : i + toxicity.NEAR + 1]) for i, h in enumerate(hit)]
+        mark = [not c.isalnum() and c > " " for c in text]
+        inner = [0 < i < len(text) - 1 and text[i - 1].isalpha() and text[i + 1].isalpha() for i in range(len(text))]
+        want = (
+            np.log1p(len(words)), sum(hit) / n, sum(w == "yours" for w in words) / n, sum(you) / n, sum(near) / n, sum(c.isupper() for c in text) / b,
+            sum(x.isupper() and y.isupper() for x, y in zip(text, text[1:], strict=False)) / b, sum(mark) / b, text.count("!") / b, sum(m and i for m, i in zip(mark, inner, strict=True)) / b,
+            sum(text[i] == text[i - 1] == text[i - 2] > " " for i in range(2, len(text))) / b, sum(c.isdigit() and i for c, i in zip(text, inner, strict=True)) / b,
+        )
+        assert np.allclose(row, want), (text, dict(zip(toxicity.FEATURES, zip(row, want, strict=True), strict=True)))
+
+
+def test_trees_sum_their_leaves():
+    """Boosted trees, read as nested conditions, and isotonic calibration by its definition."""
+    rng = np.random.default_rng(4)
+    x = rng.random((400, 3))
+    y = (x[:, 0] + 0.3 * rng.random(400) > 0.6).astype(float)
+    model = toxicity.fit_trees(x, y)
+    for row, margin in zip(x[:50], toxicity.margins(model, x)[:50], strict=True):
+        total = model["start"]
+        for feature, cut, value in model["trees"]:
+            node = 0
+            while node < len(feature):
+                node = 2 * node + (2 if row[feature[node]] > cut[node] else 1)
+            total += value[node - len(feature)]
+        assert abs(total - margin) < 1e-9
+    assert ((toxicity.margins(model, x) > 0) == (y > 0.5)).mean() > 0.95
+    xs, ys = toxicity.fit_isotonic(x[:, 0], y)
+    assert (np.diff(xs) >= 0).all() and (np.diff(ys) >= 0).all()
+
+
 def test_jaccard(docs, none, spark):
     for size, percent in ((4, 85), (5, 80), (2, 50)):
         got = rows_of(jaccard.jaccard_components(docs, size, percent), "doc_id")
@@ -307,6 +371,8 @@ def test_nearest(spark):
     twice = few.union(few.filter("vec_id = 1"))
     assert sorted(r["vec_id"] for r in nearest.nearest(twice, F.col("vec_id") == 0).collect()) == [1, 1, 2]
     assert nearest.nearest(df.limit(0), F.col("vec_id") == 0).count() == 0
+    alike = spark.createDataFrame([(0, [1.0, 0.5]), (1, [1.0, 1.0]), (1, [2.0, 2.0]), (1, [2.0, 2.0]), (2, [0.0, 1.0])], "vec_id long, embedding array<double>")
+    assert [(r["rank"], r["vec_id"]) for r in nearest.nearest(alike, F.col("vec_id") == 0).orderBy("rank").collect()] == [(1, 1), (2, 1), (3, 1), (4, 2)]
 
 
 def test_toxicity(spark, docs, none):
