@@ -1,6 +1,6 @@
 """Sustained shifts: for each row of a series the window before it is compared with the window from it on.
 
-All series are one window job. Rows are ranked on the test's statistic, which needs no special function; the confidence is
+All series are one scan over blocks of their common order, so that a long series is no single task (``segments``). Rows are ranked on the test's statistic, which needs no special function; the confidence is
 computed for the rows that are reported.
 """
 
@@ -9,12 +9,15 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
+from pyspark.sql.window import WindowSpec
 
-from ..operators.aggregates import trimmed
-from ..operators.windows import best_of_runs, frame
-from ..functions.stats import CHI2_999, chi2_confidence, median_test_statistic
+from ..functions.stats import CHI2_999, chi2_confidence
+from ..operators import frames
+from ..operators.aggregates import summary
+from ..operators.segments import ordered
+from ..operators.windows import best_in, frame
 
 
 @dataclass
@@ -31,25 +34,25 @@ class Rule:
     disabled: tuple = field(default_factory=tuple)
 
 
-def shifts(df: DataFrame, edges: list[str], order: list[str], value: str, rule: Rule = Rule(), revision: str | None = None) -> DataFrame:
-    """``df`` with past and future statistics, the test's statistic, the difference and ``is_diff`` / ``pass``."""
+def shifts(df: DataFrame, edges: list[str], order: list[str], value: str, rule: Rule = Rule(), revision: str | None = None, size: int | None = None) -> DataFrame:
+    """``size``: rows of a block of the scan, by default as many as suit the table. ``df`` with past and future statistics, the test's statistic, the difference and ``is_diff`` / ``pass``."""
     if rule.disabled:
         df = df.filter(~F.coalesce(F.col(edges[0]).isin(*rule.disabled), F.lit(False)))
-    spec = W.partitionBy(*edges).orderBy(*order)
-    past, future = frame(spec, -rule.window, 0), frame(spec, 0, rule.window)
-    v = F.col(value).cast("double")
-    out = df.withColumns({
-        "past_": F.collect_list(v).over(past), "future_": F.collect_list(v).over(future),
-        "date_min": F.min(order[0]).over(past), "date_max": F.max(order[0]).over(future),
-    })
-    if revision:
-        out = out.withColumn("past_revision", F.lag(revision).over(spec))
-    out = out.withColumns({"past_stats": trimmed(F.col("past_"), rule.middle), "future_stats": trimmed(F.col("future_"), rule.middle)})
-    out = out.withColumn("statistic", median_test_statistic(F.col("past_"), F.col("future_"), interpolate=False))
+    o = ordered(df.withColumn("input_", F.col(value).cast("double")), [F.col(e) for e in edges], [F.col(c) for c in order], size)
+    sums = StructType([StructField(s, DoubleType()) for s in frames.SUMS])
+    kind = StructType([StructField("past", sums), StructField("future", sums), StructField("statistic", DoubleType())])
+
+    def dates(spec: WindowSpec) -> dict[str, Column]:
+        before = {"past_revision": F.lag(revision).over(spec)} if revision else {}
+        return {"date_min": F.min(order[0]).over(frame(spec, -rule.window, 0)), "date_max": F.max(order[0]).over(frame(spec, 0, rule.window)), **before}
+
+    o.kernel(frames.shifted("input_", rule.window, rule.middle, "found_"), "found_", kind, rule.window, rule.window, dates)
+    out = o.rows.withColumns({"past_stats": summary(F.col("found_.past")), "future_stats": summary(F.col("found_.future")), "statistic": F.col("found_.statistic")})
     out = out.withColumn("diff", F.col("future_stats.mean") - F.col("past_stats.mean"))
     out = out.withColumn("diff_percent", F.try_divide(F.col("diff"), F.col("past_stats.mean")))
-    out = out.withColumn("is_diff", F.coalesce((F.col("statistic") > rule.trigger) & is_bad(rule), F.lit(False))).drop("past_", "future_")
-    return best_of_runs(out, edges, order, "is_diff", [F.desc("statistic"), F.desc(F.abs("diff")), *[F.desc(o) for o in order]])
+    o.rows = out.withColumn("is_diff", F.coalesce((F.col("statistic") > rule.trigger) & is_bad(rule), F.lit(False))).drop("found_", "input_")
+    best_in(o, "is_diff", [F.desc("statistic"), F.desc(F.abs("diff")), *[F.desc(c) for c in order]])
+    return o.rows.drop("pos_", *o.keys)
 
 
 def is_bad(rule: Rule) -> Column:

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from .segments import Ordered
 from .stored import stored
 
 
@@ -17,9 +18,13 @@ def group_rows(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
 
 
 def runs(df: DataFrame, keys: list[str], order: list[str], within: list[str] | None = None, out: str = "run") -> DataFrame:
-    """Numbers runs of equal keys in data order, per ``within``."""
-    spec = W.partitionBy(*(within or [])).orderBy(*order)
+    """Numbers runs of equal keys in data order, per ``within``; without it the table is one order, scanned in blocks."""
     key = F.struct(*keys)
+    if not within:
+        o = Ordered(df, [], [F.col(c) for c in order])
+        o.window(lambda spec: {"change_": (~key.eqNullSafe(F.lag(key, 1).over(spec)) & F.lag(F.lit(1), 1).over(spec).isNotNull()).cast("int")}, 1, 0)
+        return o.run(out, "sum", F.col("change_")).done(out)
+    spec = W.partitionBy(*within).orderBy(*order)
     change = F.when(F.row_number().over(spec) == 1, 0).otherwise((~key.eqNullSafe(F.lag(key).over(spec))).cast("int"))
     return df.withColumn("change_", change).withColumn(out, F.sum("change_").over(spec.rowsBetween(W.unboundedPreceding, 0))).drop("change_")
 

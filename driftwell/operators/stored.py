@@ -5,17 +5,36 @@ from __future__ import annotations
 import atexit
 import shutil
 import tempfile
+import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 
-def stored(df: DataFrame) -> DataFrame:
-    spark = df.sparkSession
+def shared(spark: SparkSession) -> str:
+    """The folder that driver and executors share; where none is set, one of our own on a single machine, else an error."""
     context = spark.sparkContext
-    if not context._jsc.sc().getCheckpointDir().isDefined():
-        path = spark.conf.get("spark.checkpoint.dir", None)
-        if not path:
-            path = tempfile.mkdtemp(prefix="driftwell-")
-            atexit.register(shutil.rmtree, path, ignore_errors=True)
+    held = context._jsc.sc().getCheckpointDir()
+    path = spark.conf.get("spark.checkpoint.dir", None) or (held.get() if held.isDefined() else None)
+    if not path:
+        if not context.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        path = tempfile.mkdtemp(prefix="driftwell-")
+        atexit.register(shutil.rmtree, path, ignore_errors=True)
+    if not held.isDefined():
         context.setCheckpointDir(path)
+    return path.rstrip("/")
+
+
+def written(df: DataFrame) -> DataFrame:
+    """The rows, computed once and read again from Parquet; a checkpoint computes them twice, but takes every type."""
+    kinds = df.schema.simpleString()
+    if any(k in kinds for k in ("void", "interval", "variant")):
+        return stored(df)
+    path = f"{shared(df.sparkSession)}/rows-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def stored(df: DataFrame) -> DataFrame:
+    shared(df.sparkSession)
     return df.checkpoint()

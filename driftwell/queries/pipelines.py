@@ -3,14 +3,13 @@
 from __future__ import annotations
 
 import datetime as dt
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..alerts import detect, lifecycle
-from ..operators.stored import stored
+from ..operators.stored import shared, stored
 from ..sources import sinks
 from ..sources.store import Store
 from ..streaming import incremental
@@ -19,8 +18,7 @@ from .registry import Tables, query
 
 def scratch(t: Tables) -> str:
     """A folder that all executors see."""
-    base = t.spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="driftwell-")
-    return f"{base}/query-{uuid.uuid4().hex}"
+    return f"{shared(t.spark)}/query-{uuid.uuid4().hex}"
 
 
 @query("""SELECT n_nationkey, CASE WHEN n_nationkey = 3 THEN 'THREE' ELSE n_name END AS n_name, CASE WHEN n_nationkey >= 100 THEN 1 END AS extra FROM
