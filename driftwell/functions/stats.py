@@ -6,12 +6,15 @@ increase strictly, so thresholds and ranking can use the statistic itself.
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
+from ..operators import selection
 from ..operators.aggregates import let
 from . import special
 
@@ -60,6 +63,29 @@ def _median(s: Column, simple: bool, mean_weight: float) -> Column:
     return F.when(n > 0, F.when(apart, plain).when(run > 1, inside).otherwise(single))
 
 
+def median_of_group(simple: bool = True, mean_weight: float = 0.0) -> Column:
+    """``median`` from the columns that ``selection.medians`` gives for a group of any size."""
+    n, before, mid, after, below, run = map(F.col, ("n", "before", "mid", "after", "below", "run"))
+    plain = F.when(n % 2 == 1, mid).otherwise((before + mid) / 2)
+    if simple:
+        return plain
+    ends = (before + after) / 2
+    single = F.when((n % 2 == 1) & (n > 1), mid * F.lit(1 - mean_weight) + ends * F.lit(mean_weight)).when(n == 1, mid).otherwise(plain)
+    apart = (n % 2 == 0) & (before != mid)
+    return F.when(n > 0, F.when(apart, plain).when(run > 1, mid + (n / 2 - below) / run - F.lit(0.5)).otherwise(single))
+
+
+def median_test_of_groups(df: DataFrame, keys: list[str], value: Column, first: Column, interpolate: bool = True, limit: int = selection.LIMIT) -> DataFrame:
+    """keys, a, b (counts below and above the pooled median of the rows for which ``first`` holds, and of the others),
+    statistic. Groups may have any size: medians by selection, then counts that are summed before the shuffle."""
+    found = selection.medians(df, keys, value, limit).select(*keys, median_of_group(not interpolate, 0.5).alias("cut_"))
+    same = reduce(lambda a, b: a & b, [F.col(f"r.{k}").eqNullSafe(F.col(f"m.{k}")) for k in keys])
+    rows = df.select(*keys, value.cast("double").alias("value_"), first.alias("first_")).alias("r").join(found.alias("m"), same)
+    side = lambda inside: counts_around(F.when(inside, F.col("value_")), F.col("cut_"), 1.0 if interpolate else 0.0)
+    both = rows.groupBy(*[F.col(f"r.{k}") for k in keys]).agg(side(F.col("first_")).alias("a"), side(~F.col("first_")).alias("b"))
+    return both.withColumn("statistic", let(F.struct("a", "b"), lambda s: counts_statistic(s["a"], s["b"])))
+
+
 def _share(x: Column, cut: Column, resolution: float) -> Column:
     """How much of a value lies below the cut, from 0 to 1."""
     x = x.cast("double")

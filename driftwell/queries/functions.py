@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import conversions, jsons, maths, stats, strings, times
 from ..operators.aggregates import power_sums, summary
+from ..operators.selection import medians
 from .registry import Tables, query
 
 
@@ -91,7 +92,7 @@ def maths_rounding(t: Tables) -> DataFrame:
 
 @query("""SELECT user_id, median(value) AS m, count(*) AS n FROM events GROUP BY 1""")
 def stats_median(t: Tables) -> DataFrame:
-    return t.events.groupBy("user_id").agg(F.collect_list("value").alias("v")).select("user_id", stats.median(F.col("v")).alias("m"), F.size("v").cast("long").alias("n"))
+    return medians(t.events, ["user_id"], F.col("value")).select("user_id", stats.median_of_group().alias("m"), "n")
 
 
 @query("""SELECT event_type AS name, round(sum(CASE WHEN value < 50 THEN 1.0 WHEN value = 50 THEN 0.5 ELSE 0 END)::DOUBLE, 3) AS below, round(count(value) - sum(least(1, greatest(0, 50 - value + 0.5))), 3) AS above_ FROM events GROUP BY 1""")
@@ -111,26 +112,24 @@ INTERPOLATED = """(SELECT user_id, CASE WHEN n % 2 = 0 AND s[n // 2] <> mid THEN
 
 @query(f"""SELECT user_id, round(med, 6) AS med FROM {INTERPOLATED.format(w=0.25)}""")
 def stats_median_interpolated(t: Tables) -> DataFrame:
-    v = t.events.groupBy("user_id").agg(F.collect_list(F.floor(F.col("value") / 20).cast("double")).alias("v"))
-    return v.select("user_id", F.round(stats.median(F.col("v"), simple=False, mean_weight=0.25), 6).alias("med"))
+    v = medians(t.events, ["user_id"], F.floor(F.col("value") / 20))
+    return v.select("user_id", F.round(stats.median_of_group(simple=False, mean_weight=0.25), 6).alias("med"))
 
 
 @query(f"""SELECT user_id, CASE WHEN na < 3 OR nb < 3 THEN 0 ELSE round((pa - na / 2) ** 2 * 2 / (na / 2) + (pb - nb / 2) ** 2 * 2 / (nb / 2), 6) END AS chi2 FROM
   (SELECT user_id, coalesce(sum(share) FILTER (side), 0) AS pa, coalesce(sum(share) FILTER (NOT side), 0) AS pb, count(*) FILTER (side)::DOUBLE AS na, count(*) FILTER (NOT side)::DOUBLE AS nb FROM
     (SELECT user_id, event_id % 2 = 0 AS side, least(1, greatest(0, med - floor(value / 20) + 0.5)) AS share FROM events JOIN {INTERPOLATED.format(w=0.5)} m USING (user_id)) GROUP BY 1)""")
 def stats_median_test_interpolated(t: Tables) -> DataFrame:
-    side = lambda s: F.collect_list(F.when(F.col("event_id") % 2 == s, F.floor(F.col("value") / 20).cast("double")))
-    both = t.events.groupBy("user_id").agg(side(0).alias("a"), side(1).alias("b"))
-    return both.select("user_id", F.round(stats.median_test_statistic(F.col("a"), F.col("b")), 6).alias("chi2"))
+    both = stats.median_test_of_groups(t.events, ["user_id"], F.floor(F.col("value") / 20), F.col("event_id") % 2 == 0)
+    return both.select("user_id", F.round("statistic", 6).alias("chi2"))
 
 
 @query("""SELECT a.user_id AS x, round((pa - na / 2) ** 2 * 2 / (na / 2) + (pb - nb / 2) ** 2 * 2 / (nb / 2), 6) AS chi2 FROM
   (SELECT user_id, sum(CASE WHEN side AND value < med THEN 1.0 WHEN side AND value = med THEN 0.5 ELSE 0 END) AS pa, sum(CASE WHEN NOT side AND value < med THEN 1.0 WHEN NOT side AND value = med THEN 0.5 ELSE 0 END) AS pb,
     count(*) FILTER (side)::DOUBLE AS na, count(*) FILTER (NOT side)::DOUBLE AS nb FROM (SELECT user_id, event_id % 2 = 0 AS side, value, median(value) OVER (PARTITION BY user_id) AS med FROM events) GROUP BY 1) a WHERE na >= 3 AND nb >= 3""")
 def stats_median_test(t: Tables) -> DataFrame:
-    side = lambda s: F.collect_list(F.when(F.col("event_id") % 2 == s, F.col("value")))
-    both = t.events.groupBy("user_id").agg(side(0).alias("a"), side(1).alias("b")).filter("size(a) >= 3 and size(b) >= 3")
-    return both.select(F.col("user_id").alias("x"), F.round(stats.median_test_statistic(F.col("a"), F.col("b"), interpolate=False), 6).alias("chi2"))
+    both = stats.median_test_of_groups(t.events, ["user_id"], F.col("value"), F.col("event_id") % 2 == 0, interpolate=False)
+    return both.filter("a.below + a.above >= 3 and b.below + b.above >= 3").select(F.col("user_id").alias("x"), F.round("statistic", 6).alias("chi2"))
 
 
 @query("""SELECT user_id, round((ma - mb) / sqrt(va / na + vb / nb), 6) AS t, round((va / na + vb / nb) ** 2 / ((va / na) ** 2 / (na - 1) + (vb / nb) ** 2 / (nb - 1)), 5) AS df FROM (SELECT user_id,
