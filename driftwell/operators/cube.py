@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -79,5 +80,52 @@ class Cube:
             raise ValueError("only a cube without edges is a value")
         return self.df.select(self.measures[0]).scalar()
 
-    def filter(self, *_: object) -> None:
-        raise NotImplementedError("filter the cube's frame: cube.df.filter(...)")
+    def filter(self, where: Column) -> Cube:
+        """The cells for which a condition on edges and measures holds."""
+        return Cube(self.df.filter(where), self.domains, self.measures, self.nulls)
+
+    # Arithmetic ---------------------------------------------------------------------------------------------------
+    def combine(self, other: Cube | float, fn: Callable[[Column, Column], Column], name: str | None = None, default: float | None = None) -> Cube:
+        """A cube of ``fn`` of both cubes' single measures, over the edges of both.
+
+        Cells are matched on the edges that both have, missing parts with missing ones; a cube with fewer edges counts for all
+        parts of the others. Where only one cube has a cell the other's value is ``default``, and without one there is no
+        cell. Cubes that share no edge are refused, but for values, which have no edges. The smaller cube is broadcast where
+        Spark finds it small enough.
+        """
+        (mine,) = self.measures
+        name = name or mine
+        if not isinstance(other, Cube):
+            return Cube(self.df.select(*self.edges, fn(F.col(mine), F.lit(other)).alias(name)), self.domains, [name], self.nulls)
+        (theirs,) = other.measures
+        shared = [e for e in self.edges if e in other.domains]
+        if not shared and self.edges and other.edges:
+            raise ValueError("cubes without a common edge")
+        a, b = self.df.select(*self.edges, F.col(mine).alias("left_")).alias("a"), other.df.select(*other.edges, F.col(theirs).alias("right_")).alias("b")
+        on = reduce(lambda x, y: x & y, [F.col(f"a.{e}").eqNullSafe(F.col(f"b.{e}")) for e in shared], F.lit(True))
+        wide_a, wide_b = set(self.edges) >= set(other.edges), set(other.edges) >= set(self.edges)
+        how = "inner" if default is None else "full" if wide_a and wide_b else "left" if wide_a else "right" if wide_b else "inner"
+        joined = a.join(b, on, how) if shared else a.crossJoin(F.broadcast(b)) if not other.edges else F.broadcast(a).crossJoin(b)  # one row
+        edges = [F.coalesce(F.col(f"a.{e}"), F.col(f"b.{e}")).alias(e) if e in shared else F.col(e) for e in [*self.edges, *(e for e in other.edges if e not in shared)]]
+        fill = (lambda c: F.coalesce(c, F.lit(default))) if default is not None else (lambda c: c)
+        return Cube(joined.select(*edges, fn(fill(F.col("left_")), fill(F.col("right_"))).alias(name)), other.domains | self.domains, [name], other.nulls | self.nulls)
+
+    def __add__(self, other: Cube | float) -> Cube:
+        return self.combine(other, lambda a, b: a + b)
+
+    def __sub__(self, other: Cube | float) -> Cube:
+        return self.combine(other, lambda a, b: a - b)
+
+    def __mul__(self, other: Cube | float) -> Cube:
+        return self.combine(other, lambda a, b: a * b)
+
+    def __truediv__(self, other: Cube | float) -> Cube:
+        return self.combine(other, lambda a, b: F.try_divide(a.cast("double"), b.cast("double")))
+
+    __radd__, __rmul__ = __add__, __mul__
+
+    def __rsub__(self, other: float) -> Cube:
+        return self.combine(other, lambda a, b: b - a)
+
+    def __rtruediv__(self, other: float) -> Cube:
+        return self.combine(other, lambda a, b: F.try_divide(b.cast("double"), a.cast("double")))

@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from .intervals import interval_join
+
 
 def null_safe(left: str, right: str, keys: list[str]) -> Column:
     return reduce(lambda a, b: a & b, [F.col(f"{left}.{k}").eqNullSafe(F.col(f"{right}.{k}")) for k in keys])
@@ -52,5 +54,8 @@ def image(df: DataFrame, value: str, relation: DataFrame, key: str, target: str)
 
 
 def snapshot(records: DataFrame, parts: DataFrame, low: str, high: str, at: str) -> DataFrame:
-    """Records whose interval [low, high] holds a partition's start; a missing high is open. For irregular partitions."""
-    return parts.join(records, (F.col(low) <= F.col(at)) & (F.col(high).isNull() | (F.col(high) >= F.col(at))), "left")
+    """Records whose interval [low, high] holds a partition's start; a missing high is open. For irregular partitions, which
+    keep a row without a record where none holds their start. An equi-join on dyadic cells (``intervals``)."""
+    met = interval_join(parts, records, low, high, at)
+    bare = parts.join(met.select(F.col(at).alias("met_")).distinct(), F.col(at) == F.col("met_"), "left_anti")
+    return met.unionByName(bare.select("*", *[F.lit(None).cast(t).alias(c) for c, t in records.dtypes]))

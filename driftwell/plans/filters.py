@@ -35,15 +35,33 @@ _KEYWORDS = frozenset("and or not in like between case when then else end is nul
 _STRINGS = re.compile(r"'(?:[^'\\]|\\.)*'")
 
 
-def script(text: str) -> Column:
-    """An expression that calls only the functions of ``SCRIPT_FUNCTIONS``."""
+_PATH = re.compile(r"(?<![\w.`])([A-Za-z_]\w*(?:\.[A-Za-z_]\w*)*)(?!\w|\s*\()")
+
+
+def script_paths(text: str) -> set[str]:
+    """The names and dotted paths in an expression that are no keywords."""
+    return {p for p in _PATH.findall(_STRINGS.sub("''", text)) if p.lower() not in _KEYWORDS | {"true", "false"}}
+
+
+def script(text: str, resolve: Resolve | None = None) -> Column:
+    """An expression that calls only the functions of ``SCRIPT_FUNCTIONS``. Paths through flattened arrays are read from their
+    rows where ``resolve`` is the ``col`` of such a frame."""
     bare = _STRINGS.sub("''", text)
     if ";" in bare or "--" in bare or re.search(r"\b(select|from)\b", bare, re.IGNORECASE):
         raise ValueError(f"not an expression: {text}")
     for name in _CALL.findall(bare):
         if name.lower() not in SCRIPT_FUNCTIONS | _KEYWORDS:
             raise ValueError(f"function {name} is not allowed in a script")
-    return F.expr(text)
+    written = getattr(getattr(resolve, "__self__", None), "written", None)
+    if written is None:
+        return F.expr(text)
+    # Quoted strings stay as they are; between them paths are replaced.
+    pieces, at = [], 0
+    swap = lambda s: _PATH.sub(lambda m: m[1] if m[1].lower() in _KEYWORDS else written(m[1]), s)
+    for m in _STRINGS.finditer(text):
+        pieces += [swap(text[at : m.start()]), m[0]]
+        at = m.end()
+    return F.expr("".join([*pieces, swap(text[at:])]))
 
 
 def simplify(f: Any) -> Any:
@@ -79,7 +97,7 @@ def simplify(f: Any) -> Any:
 
 
 def fields(f: Any) -> set[str]:
-    """The paths that a filter reads (scripts not counted)."""
+    """The paths that a filter reads."""
     f = simplify(f)
     if isinstance(f, bool):
         return set()
@@ -92,7 +110,7 @@ def fields(f: Any) -> set[str]:
         return {_field(arg)}
     if op == "nested":
         return {f"{arg['path']}"}
-    return set() if op == "script" else set(arg)
+    return script_paths(arg["script"] if isinstance(arg, dict) else arg) if op == "script" else set(arg)
 
 
 def _field(arg: Any) -> str:
@@ -131,11 +149,39 @@ def _range(c: Column, bounds: dict) -> Column:
     return _all(parts)
 
 
+#: The opposite of each comparison.
+OPPOSITE = {"gt": "lte", ">": "<=", "gte": "lt", ">=": "<", "lt": "gte", "<": ">=", "lte": "gt", "<=": ">"}
+
+
+def _opposite(f: Any, resolve: Resolve) -> Column:
+    """Rows for which a filter does not hold, as comparisons that a reader takes."""
+    if isinstance(f, bool):
+        return F.lit(not f)
+    ((op, arg),) = f.items()
+    if op in ("and", "or"):
+        return (_any if op == "and" else _all)([_opposite(x, resolve) for x in arg])
+    if op == "not":
+        return compile_filter(arg, resolve, bare=True)
+    if op in ("missing", "exists"):
+        return compile_filter({"exists" if op == "missing" else "missing": arg}, resolve)
+    if op in ("term", "terms"):
+        parts = []
+        for k, v in arg.items():
+            c, values = resolve(k), v if isinstance(v, list) else [v]
+            some = [x for x in values if x is not None]
+            other = ~c.isin(*some) if some else F.lit(True)
+            parts.append((other & c.isNotNull()) if len(some) < len(values) else (other | c.isNull()))
+        return _any(parts)
+    if op == "range" and all(set(v) <= set(OPPOSITE) for v in arg.values()):
+        return _any([_any([resolve(k).isNull(), *[COMPARE[OPPOSITE[o]](resolve(k), F.lit(x)) for o, x in v.items()]]) for k, v in arg.items()])
+    return ~compile_filter(f, resolve)
+
+
 def compile_filter(f: Any, resolve: Resolve = F.col, bare: bool = False) -> Column:
     """The predicate of a filter; ``resolve`` turns a path into a Column.
 
-    ``bare``: the predicate only selects rows, where null is as good as false. Then comparisons stay as they are, so that the
-    reader can take them; under a negation they are guarded all the same.
+    ``bare``: the predicate only selects rows, where null is as good as false. Then comparisons and scripts stay as they are, and
+    negations are pushed inwards to "missing or the opposite", so that the reader can take them.
     """
     f = simplify(f)
     if isinstance(f, bool):
@@ -150,7 +196,7 @@ def compile_filter(f: Any, resolve: Resolve = F.col, bare: bool = False) -> Colu
     if op == "or":
         return _any([sub(x) for x in arg])
     if op == "not":
-        return ~compile_filter(arg, resolve)
+        return _opposite(simplify(arg), resolve) if bare else ~compile_filter(arg, resolve)
     if op == "term":
         return _all([sure(_members(resolve(k), v)) if isinstance(v, list) else resolve(k).eqNullSafe(F.lit(v)) for k, v in arg.items()])
     if op == "terms":
@@ -166,7 +212,7 @@ def compile_filter(f: Any, resolve: Resolve = F.col, bare: bool = False) -> Colu
     if op == "instr":
         return _all([sure(F.contains(resolve(k), F.lit(v))) for k, v in arg.items()])
     if op == "script":
-        return _sure(script(arg["script"] if isinstance(arg, dict) else arg))
+        return sure(script(arg["script"] if isinstance(arg, dict) else arg, resolve))
     if op == "nested":
         path = arg["path"]
         inner = lambda row: lambda p: reduce(lambda c, n: c[n], p.removeprefix(f"{path}.").split("."), row)

@@ -67,6 +67,14 @@ class Flat:
     def _element(df: DataFrame, c: Column) -> T.DataType:
         return df.select(c).schema[0].dataType.elementType
 
+    def written(self, path: str) -> str:
+        """The path as it is written in SQL: from the flattened row where it leads through one."""
+        names = split_path(path)
+        for n in range(len(names), 0, -1):
+            if (head := join_path(names[:n])) in self.alias:
+                return ".".join(f"`{x}`" for x in [self.alias[head], *names[n:]])
+        return path
+
     def col(self, path: str) -> Column:
         names = split_path(path)
         for n in range(len(names), 0, -1):

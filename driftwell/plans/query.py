@@ -286,5 +286,3 @@ def tuples(df: DataFrame, names: list[str]) -> DataFrame:
     """One struct per row."""
     return df.select(F.struct(*[reduce(lambda c, n: c[n], split_path(p)[1:], F.col(split_path(p)[0])).alias(f"_{i}") for i, p in enumerate(names)]).alias("tuple"))
 
-
-Compile = Callable[[dict], DataFrame]

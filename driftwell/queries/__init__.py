@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .registry import ORACLES, QUERIES
-from . import aggregation, functions, further, language, pipelines, relational, windowing  # noqa: F401  they register themselves
+from . import aggregation, functions, further, language, pipelines, relational, scale, windowing  # noqa: F401  they register themselves
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -50,7 +50,8 @@ def times_horizon(t: Tables) -> DataFrame:
 def times_of_day(t: Tables) -> DataFrame:
     """Events by half hour of the day, joined to the table of times."""
     at = t.events.select("event_id", (F.hour("ts") * 60 + F.floor(F.minute("ts") / 30).cast("int") * 30).alias("minute"))
-    return times.times_of_day(t.spark, 30).join(at, "minute", "left").groupBy("tod", "minute").agg(F.count("event_id").alias("n"))
+    counts = at.groupBy("minute").agg(F.count("event_id").alias("n"))
+    return times.times_of_day(t.spark, 30).join(counts, "minute", "left").select("tod", "minute", F.coalesce("n", F.lit(0)).cast("long").alias("n"))
 
 
 @query("""SELECT name, count(event_id) AS n FROM (VALUES ('today', DATE '2024-01-17', DATE '2024-01-18'), ('yesterday', DATE '2024-01-16', DATE '2024-01-17'), ('this week', DATE '2024-01-14', DATE '2024-01-21'),
@@ -61,7 +62,9 @@ def times_relative(t: Tables) -> DataFrame:
     names = ["today", "yesterday", "this week", "last week", "this month", "last month"]
     periods = times.relative_ranges(t.spark, dt.date(2024, 1, 17)).filter(F.col("name").isin(names))
     inside = (F.col("ts") >= F.col("min").cast("timestamp")) & (F.col("ts") < F.col("max").cast("timestamp"))
-    return periods.join(t.events.select("event_id", "ts"), inside, "left").groupBy("name").agg(F.count("event_id").alias("n"))
+    # The six periods go to the events, and six counts come back to the periods.
+    counts = t.events.select("event_id", "ts").join(F.broadcast(periods), inside).groupBy("name").agg(F.count("event_id").alias("n"))
+    return periods.select("name").join(counts, "name", "left").select("name", F.coalesce("n", F.lit(0)).cast("long").alias("n"))
 
 
 @query("""SELECT c_custkey, CASE WHEN h >= 2147483648 THEN h - 4294967296 ELSE h END AS hash, CASE WHEN b >= 128 THEN b - 256 ELSE b END AS byte, [c_mktsegment] AS list, len(list) AS size

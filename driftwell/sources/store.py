@@ -6,6 +6,7 @@ of the one before and one more. Nothing is changed in place.
 
 from __future__ import annotations
 
+import datetime as dt
 import json
 import uuid
 
@@ -41,6 +42,14 @@ class Store:
         finally:
             stream.close()
 
+    def last_batch(self, name: str, stream: str) -> int:
+        """The last batch of a stream that the table holds; -1: none."""
+        return self._last(name)["batches"].get(stream, -1)
+
+    def last_written(self, name: str) -> str | None:
+        """When the newest version was published (UTC, ISO)."""
+        return self._last(name).get("at")
+
     def _last(self, name: str) -> dict:
         v = self.versions(name)
         return self._pointer(name, v[-1]) if v else {"folders": [], "batches": {}}
@@ -61,7 +70,7 @@ class Store:
         writer.parquet(f"{self.root}/{name}/{version}")
         draft = self._path(f"{self.root}/{name}/_draft-{version}")
         out = self._fs.create(draft)
-        out.write(bytearray(json.dumps({"folders": [*after, version], "batches": batches}).encode()))
+        out.write(bytearray(json.dumps({"folders": [*after, version], "batches": batches, "at": dt.datetime.now(dt.UTC).isoformat()}).encode()))
         out.close()
         self._fs.mkdirs(self._path(f"{self.root}/{name}/_current"))
         if not self._fs.rename(draft, self._path(f"{self.root}/{name}/_current/{version}")):
