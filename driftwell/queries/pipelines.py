@@ -53,6 +53,22 @@ def store_merge_and_versions(t: Tables) -> DataFrame:
     return t.spark.table("nation_now")
 
 
+@query("""SELECT o_orderkey, CASE WHEN o_orderdate >= DATE '1997-01-01' AND o_orderstatus = 'O' THEN 'late' ELSE o_orderpriority END AS o_orderpriority,
+  CASE WHEN c_mktsegment = 'BUILDING' THEN 0 ELSE o_totalprice END AS o_totalprice, CASE WHEN o_orderdate >= DATE '1997-01-01' THEN o_custkey END AS o_custkey FROM orders
+  JOIN customer ON o_custkey = c_custkey WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem WHERE l_quantity >= 50)""")
+def store_partial_changes(t: Tables) -> DataFrame:
+    """Orders arrive by year; a new column, changes by key and by filter write anew only the folders that hold such orders."""
+    store, keep = Store(t.spark, scratch(t)), ["o_orderkey", "o_orderdate", "o_orderpriority", "o_orderstatus", "o_totalprice"]
+    orders = t.orders.join(t.customer.select(F.col("c_custkey").alias("o_custkey"), "c_mktsegment"), "o_custkey")
+    store.write("o", orders.filter("o_orderdate < '1995-01-01'").select(*keep), keys=["o_orderkey", "o_orderdate"])
+    store.insert("o", orders.filter("o_orderdate >= '1995-01-01' AND o_orderdate < '1997-01-01'").select(*keep))
+    store.add_column("o", "o_custkey", t.orders.schema["o_custkey"].dataType.simpleString())
+    store.merge("o", orders.filter("o_orderdate >= '1997-01-01'").select(*keep, "o_custkey"), ["o_orderkey"])
+    store.update("o", (F.col("o_orderdate") >= "1997-01-01") & (F.col("o_orderstatus") == "O"), {"o_orderpriority": "late"})
+    store.update_join("o", orders.filter("c_mktsegment = 'BUILDING'").select("o_orderkey", F.lit(0).cast(t.orders.schema["o_totalprice"].dataType).alias("o_totalprice")), ["o_orderkey"], ["o_totalprice"])
+    return store.delete_in("o", t.lineitem.filter("l_quantity >= 50").select(F.col("l_orderkey").alias("o_orderkey")), ["o_orderkey"]).select("o_orderkey", "o_orderpriority", "o_totalprice", "o_custkey")
+
+
 @query("""SELECT event_id AS eventid, nullif(trim(CASE WHEN event_type = 'view' THEN ' ' ELSE event_type END), '') AS kind, list_sort([user_id % 3, value::BIGINT]) AS list FROM events""")
 def sink_scrub(t: Tables) -> DataFrame:
     rows = t.events.select(F.col("event_id").alias("EventId"), F.when(F.col("event_type") == "view", " ").otherwise(F.col("event_type")).alias("Kind"), F.array(F.col("user_id") % 3, F.lit(None).cast("long"), F.rint("value").cast("long")).alias("List"))

@@ -98,6 +98,62 @@ def test_insert_appends_a_folder_and_takes_a_batch_once(spark, tmp_path):
     assert store.read("t").agg(F.max("k")).first()[0] == 2**40
 
 
+def test_changes_write_only_the_folders_they_touch(spark, tmp_path):
+    store = Store(spark, str(tmp_path / "s"))
+    row = lambda a, b: spark.range(a, b).select("id", F.concat(F.lit("v"), "id").alias("v"))
+    store.write("t", row(0, 100), keys=["id"])
+    for a in (100, 200, 300):
+        store.insert("t", row(a, a + 100))
+    first = store.folders("t")
+    rewritten = lambda: len(set(first) - set(store.folders("t")))
+    assert len(first) == 4 and rewritten() == 0
+    store.update_slice("t", {"id": 150}, {"v": "x"})
+    assert rewritten() == 1 and len(store.folders("t")) == 4
+    store.delete("t", F.col("v") == "v50")
+    assert rewritten() == 2
+    store.merge("t", spark.createDataFrame([(310, "m"), (1000, "n")], "id long, v string"), ["id"])
+    assert rewritten() == 3 and first[2] in store.folders("t")
+    store.update_join("t", spark.createDataFrame([(1000, "p"), (1000, "o")], "id long, v string"), ["id"], ["v"])
+    store.delete_in("t", spark.createDataFrame([(10**6,), (None,)], "id long"), ["id"])
+    assert rewritten() == 3
+    got = {r["id"]: r["v"] for r in store.read("t").collect()}
+    want = {i: f"v{i}" for i in range(400) if i != 50} | {150: "x", 310: "m", 1000: "p"}
+    assert got == want
+    store.prune("t")
+    assert {r["id"]: r["v"] for r in store.compact("t").collect()} == want and len(store.folders("t")) == 1
+    assert store.delete("t", F.lit(True)).count() == 0 and store.insert("t", row(5, 6)).count() == 1
+
+
+def test_looks_into_folders_by_ranges_of_keys(spark, tmp_path):
+    store = Store(spark, str(tmp_path / "s"))
+    one = lambda *k: spark.createDataFrame([(x, 1) for x in k], "k string, n int")
+    store.write("t", one("a", "c"), keys=["k"])
+    store.insert("t", one("m", None))
+    store.insert("t", spark.createDataFrame([], "k string, n int"))
+    look = lambda *k: [store.folders("t").index(f) for f in store._maybe(store._last("t"), one(*k), ["k"])]
+    assert look("b") == [0] and look("m", "z") == [1] and look(None) == [1] and look("b", "n") == [0, 1] and look("d") == [] and look() == []
+    assert store.insert_new("t", one("a", "b", None), ["k"]).count() == 5
+
+
+def test_columns_and_wider_types_are_schema_only(spark, tmp_path):
+    store = Store(spark, str(tmp_path / "s"))
+    store.write("t", spark.createDataFrame([(1, 0.5, "p")], "k short, f float, p string"), partition=["p"])
+    first = store.folders("t")
+    store.add_column("t", "extra", "string")
+    store.insert("t", spark.createDataFrame([(2**40, 1e300)], "k long, f double"))
+    store.insert("t", spark.createDataFrame([(3, "q")], "k byte, p string"))
+    assert store.folders("t")[:1] == first and store.read("t").columns == ["k", "f", "p", "extra"]
+    assert sorted(map(tuple, store.read("t").collect())) == [(1, 0.5, "p", None), (3, None, "q", None), (2**40, 1e300, None, None)]
+    store.update("t", F.col("p") == "p", {"extra": "e", "p": "r"})
+    assert store.read("t").filter("extra = 'e' and p = 'r'").count() == 1 and len(store.folders("t")) == 3
+    store.insert("t", spark.createDataFrame([("text",)], "k string"))
+    assert sorted(r["k"] for r in store.read("t").collect()) == ["1", "1099511627776", "3", "text"]
+    with pytest.raises(ValueError):
+        store.insert("t", spark.createDataFrame([([1],)], "k array<int>"))
+    with pytest.raises(ValueError):
+        store.add_column("t", "k", "int")
+
+
 def test_sinks(spark, tmp_path):
     df = spark.createDataFrame([(1, "a\tb", None), (2, '"q"', [3])], "k int, v string, l array<int>")
     assert [r["value"] for r in sinks.tab_cells(df).orderBy("value").collect()] == ['1\t"a\\tb"\tnull', '2\t"\\"q\\""\t[3]']
