@@ -10,18 +10,19 @@ piece of text (its context), five bytes a suffix instead of 200.
    anchors are congruent modulo the period of a difference cover. The suffixes at cover positions are ranked first (block
    ranks, then prefix doubling); the bucket's suffixes are sorted by their first 31 bytes, and ties are resolved by the
    rank of the next cover position. Neighbours in the sorted order are compared over all 200 bytes.
-4. A bucket with more than ``CROWD`` contexts is split by a hash of the 200 bytes, one suffix a row, so that no task
-   holds it whole.
+4. The suffixes of a bucket with more than ``CROWD`` contexts are counted by a 128-bit hash of their 200 bytes, in ``SALTS``
+   parts a hash, so that no task holds a bucket, or all places of one string.
 
 Edge cases: a null text has no bytes; texts shorter than 200 bytes lose nothing; rows equal in id and text are copies of
-each other; a null id is an ordinary value; an empty table gives no rows; other columns are ignored.
+each other; a null id is an ordinary value; an empty table gives no rows; other columns are ignored. A text is scanned for
+anchors ``SEGMENT`` window starts at a time, but read and cut whole, so it must fit into a task; positions are 32-bit numbers.
 """
 
 from __future__ import annotations
 
 import hashlib
 import sys
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -36,12 +37,16 @@ WIDTH, GRAM = 200, 64
 #: A difference cover of the residues modulo 31: every residue is a difference of two of its members.
 PERIOD, COVER = 31, (0, 1, 3, 8, 12, 18)
 CROWD = 20_000
+SALTS = 1024
+#: Window starts of a long text that are scanned at once.
+SEGMENT = 1 << 22
 #: Suffixes sorted in one block.
 BLOCK = 1 << 19
 PLACE = np.uint64(28)
 
 ANCHOR = pa.schema([("key", pa.int64()), ("mh", pa.int64()), ("ch", pa.int64()), ("a", pa.int32()), ("o", pa.int32()), ("nw", pa.int32())])
-CONTEXT = pa.schema([("mh", pa.int64()), ("salt", pa.int32()), ("key", pa.int64()), ("a", pa.int32()), ("o", pa.int32()), ("nw", pa.int32()), ("done", pa.bool_()), ("bytes", pa.binary())])
+CONTEXT = pa.schema([("mh", pa.int64()), ("key", pa.int64()), ("a", pa.int32()), ("o", pa.int32()), ("nw", pa.int32()), ("done", pa.bool_()), ("bytes", pa.binary())])
+SUFFIX = pa.schema([("h0", pa.int64()), ("h1", pa.int64()), ("salt", pa.int32()), ("key", pa.int64()), ("s", pa.int32()), ("done", pa.bool_())])
 SPAN = pa.schema([("key", pa.int64()), ("s", pa.int32()), ("e", pa.int32())])
 KEPT = pa.schema([("key", pa.int64()), ("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept", pa.binary())])
 
@@ -82,48 +87,71 @@ def windows(raw: np.ndarray, offsets: np.ndarray, width: int) -> tuple[np.ndarra
     return text[new], a, p, run, grams[p], whole
 
 
-def anchors(width: int):
+def segments(raw: np.ndarray, offsets: np.ndarray, width: int, most: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(first byte, bytes, offsets): a long text in parts that overlap by a window less one byte, anything else as it is."""
+    if len(offsets) > 2 or len(raw) < most + width:
+        yield 0, raw, offsets
+        return
+    for at in range(0, len(raw) - width + 1, most):
+        part = raw[at : at + most + width - 1]
+        yield at, part, np.array([0, len(part)])
+
+
+def anchors(width: int, most: int = SEGMENT):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keys = batch.column("key").to_numpy()
-            for row, raw, offsets in chunks(batch.column("text")):
-                if (found := windows(raw, offsets, width)) is None:
-                    continue
-                text, a, p, nw, mh, ch = found
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(keys[row + text]), pa.array(mh.view(np.int64)), pa.array(ch.view(np.int64)), pa.array((a - offsets[text]).astype(np.int32)), pa.array((p - a).astype(np.int32)), pa.array(nw.astype(np.int32))],
-                    schema=ANCHOR,
-                )
+            for row, whole, bounds in chunks(batch.column("text")):
+                for at, raw, offsets in segments(whole, bounds, width, most):
+                    if (found := windows(raw, offsets, width)) is None:
+                        continue
+                    text, a, p, nw, mh, ch = found
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(keys[row + text]), pa.array(mh.view(np.int64)), pa.array(ch.view(np.int64)), pa.array((at + a - offsets[text]).astype(np.int32)), pa.array((p - a).astype(np.int32)), pa.array(nw.astype(np.int32))],
+                        schema=ANCHOR,
+                    )
 
     return run
 
 
-def cut(width: int, crowd: int):
-    """From texts and the list of contexts wanted from each: the contexts; those of crowded buckets one suffix a row."""
+def per_context(schema: pa.Schema, rows_of: Callable[[int, memoryview, dict], Iterator[tuple]]):
+    """From texts and the list of contexts wanted from each: the rows made of each context."""
+
+    def table(rows: list[tuple]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows: list[tuple] = []
             for key, text, wanted in zip(batch.column("key").to_pylist(), batch.column("text").cast(pa.large_binary()), batch.column("wanted"), strict=True):
                 raw = memoryview(text.as_py() or b"")
-                for c in wanted.as_py():
-                    mh, a, o, nw, many, done = c["mh"], c["a"], c["o"], c["nw"], c["d"], c["done"]
-                    if many <= crowd:
-                        rows.append((mh, 0, key, a, o, nw, done, bytes(raw[a : a + nw - 1 + width])))
-                    else:
-                        for j in range(nw):
-                            piece = bytes(raw[a + j : a + j + width])
-                            salt = int.from_bytes(hashlib.blake2b(piece, digest_size=4).digest(), "little", signed=True)
-                            rows.append((mh, salt, key, a + j, o - j, 1, done, piece))
-                if len(rows) > 4096:
-                    yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(zip(*rows, strict=True), CONTEXT, strict=True)], schema=CONTEXT)
-                    rows = []
+                for c in wanted:
+                    rows += rows_of(key, raw, c.as_py())
+                    if len(rows) > 4096:
+                        yield table(rows)
+                        rows = []
             if rows:
-                yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(zip(*rows, strict=True), CONTEXT, strict=True)], schema=CONTEXT)
+                yield table(rows)
 
     return run
 
 
+def cut(width: int):
+    """The bytes of each context."""
+    return per_context(CONTEXT, lambda key, raw, c: iter([(c["mh"], key, c["a"], c["o"], c["nw"], c["done"], bytes(raw[c["a"] : c["a"] + c["nw"] - 1 + width]))]))
+
+
+def hashed(width: int, salts: int):
+    """The suffixes of each context with a hash of their first ``width`` bytes, and a part by place."""
+
+    def rows_of(key: int, raw: memoryview, c: dict) -> Iterator[tuple]:
+        for s in range(c["a"], c["a"] + c["nw"]):
+            h = hashlib.blake2b(raw[s : s + width], digest_size=16).digest()
+            yield int.from_bytes(h[:8], "little", signed=True), int.from_bytes(h[8:], "little", signed=True), (key + s) % salts, key, s, c["done"]
+
+    return per_context(SUFFIX, rows_of)
+
+
 def _words(text: np.ndarray, at: np.ndarray) -> list[np.ndarray]:
     """The PERIOD bytes at each position as four big-endian numbers, least significant first."""
     view = np.lib.stride_tricks.sliding_window_view(text, 8)
@@ -198,9 +226,9 @@ def repeats(width: int, block: int):
     """Contexts sorted by bucket: the spans of suffixes that have an equal one."""
 
     def solve(rows: list[tuple]) -> pa.RecordBatch:
-        key, a, o, nw, done, data, mh, salt = (list(x) for x in zip(*rows, strict=True))
+        key, a, o, nw, done, data, mh = (list(x) for x in zip(*rows, strict=True))
         a, nw = np.array(a), np.array(nw)
-        ids = np.unique(np.array([mh, salt]).T, axis=0, return_inverse=True)[1].ravel()
+        ids = np.unique(np.array(mh), return_inverse=True)[1]
         piece, offset, same = sort_block([np.frombuffer(x, np.uint8) for x in data], np.array(o), nw, ids, width)
         same &= ~np.array(done)[piece]
         piece, offset = piece[same], offset[same]
@@ -219,13 +247,13 @@ def repeats(width: int, block: int):
         bucket: list[tuple] = []
         size, now = 0, None
         for batch in batches:
-            cols = [batch.column(c).to_pylist() for c in ("key", "a", "o", "nw", "done", "bytes", "mh", "salt")]
+            cols = [batch.column(c).to_pylist() for c in ("key", "a", "o", "nw", "done", "bytes", "mh")]
             for row in zip(*cols, strict=True):
-                if row[6:] != now:
+                if row[6] != now:
                     if len(bucket) > 1:
                         held += bucket
                         size += sum(r[3] for r in bucket)
-                    bucket, now = [], row[6:]
+                    bucket, now = [], row[6]
                     if size > block:
                         yield solve(held)
                         held, size = [], 0
@@ -271,18 +299,23 @@ def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int =
     equal = stash.keep(found.groupBy("mh", "ch").agg(F.count("*").alias("c"), F.min(F.struct("key", "a", "o", "nw")).alias("one")), "equal")
     whole = found.join(equal.filter("c > 1").select("mh", "ch"), ["mh", "ch"]).select("key", F.col("a").alias("s"), (F.col("a") + F.col("nw") - 1 + width).alias("e"))
     mixed = stash.keep(equal.groupBy("mh").agg(F.count("*").cast("int").alias("d")).filter("d > 1"), "mixed")
-    wanted = (
-        equal.join(mixed, "mh")
-        .select("one.key", F.struct("mh", "one.a", "one.o", "one.nw", "d", (F.col("c") > 1).alias("done")).alias("w"))
-        .groupBy("key")
-        .agg(F.collect_list("w").alias("wanted"))
-    )
-    # One row's contexts suffice where rows are equal in id and text.
-    texts = source.select("key", "text").join(wanted, "key")
-    contexts = texts.mapInArrow(cut(width, crowd), _ddl(CONTEXT))
-    partial = contexts.repartition("mh", "salt").sortWithinPartitions("mh", "salt", "key", "a").mapInArrow(repeats(width, block), _ddl(SPAN))
+    def wanted(buckets: DataFrame) -> DataFrame:
+        """Texts with the contexts that are wanted from each; one row's contexts suffice where rows are equal in id and text."""
+        one = equal.join(buckets, "mh").select("one.key", F.struct("mh", "one.a", "one.o", "one.nw", (F.col("c") > 1).alias("done")).alias("w"))
+        return source.select("key", "text").join(one.groupBy("key").agg(F.collect_list("w").alias("wanted")), "key")
+
+    contexts = wanted(mixed.filter(F.col("d") <= crowd)).mapInArrow(cut(width), _ddl(CONTEXT))
+    partial = contexts.repartition("mh").sortWithinPartitions("mh", "key", "a").mapInArrow(repeats(width, block), _ddl(SPAN))
+    crowded = mixed.filter(F.col("d") > crowd)
+    if not crowded.isEmpty():
+        # A string is counted in parts, and its places look for their part only, so a string at very many places is no hot key.
+        suffixes = stash.keep(wanted(crowded).mapInArrow(hashed(width, SALTS), _ddl(SUFFIX)), "suffixes")
+        parts = stash.keep(suffixes.groupBy("h0", "h1", "salt").agg(F.count("*").alias("n")), "parts")
+        again = parts.join(parts.groupBy("h0", "h1").agg(F.sum("n").alias("all")).filter("all > 1"), ["h0", "h1"])
+        hit = suffixes.filter("not done").join(again, ["h0", "h1", "salt"], "left_semi")
+        partial = partial.unionByName(hit.select("key", "s", (F.col("s") + width).alias("e")))
     spans = stash.keep(whole.unionByName(partial).groupBy("key").agg(F.collect_list(F.struct("s", "e")).alias("spans")), "spans")
-    stash.drop("often", "found", "equal", "mixed")
+    stash.drop("often", "found", "equal", "mixed", "suffixes", "parts")
     return source.join(spans, "key", "left").mapInArrow(remove, _ddl(KEPT)).drop("key").withColumnRenamed("doc_id", key)
 
 

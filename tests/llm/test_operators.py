@@ -4,6 +4,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -251,6 +252,30 @@ def test_suffixes_crowded_and_random(spark, crowd):
     assert {i: (r["n_bytes"], r["n_removed"], r["n_spans"]) for i, r in got.items()} == {i: w[:3] for i, w in want.items()}
 
 
+def test_suffixes_of_one_string_in_very_many_contexts(spark):
+    rng = random.Random(5)
+    noise = lambda n: "".join(rng.choice("efghijkl") for _ in range(n))
+    middle = noise(200)
+    rows = [(i, noise(40) + "-" + middle + "+" + noise(40)) for i in range(5000)]
+    got = suffixes.dedup(table(spark, rows).repartition(7), crowd=100).collect()
+    want = brute.suffix_dedup(rows, 200)
+    assert len(got) == 5000 and all((r["n_bytes"], r["n_removed"], r["n_spans"]) == want[r["doc_id"]][:3] and r["n_removed"] >= 202 for r in got)
+    # Its places are dealt over all parts, so that no part holds many of them.
+    batch = pa.RecordBatch.from_pylist([{"key": 97 * i, "text": middle, "wanted": [{"mh": 1, "a": 0, "o": 0, "nw": 1, "done": False}]} for i in range(5000)])
+    parts = pa.Table.from_batches(suffixes.hashed(200, 64)(iter([batch]))).to_pandas()
+    assert parts.groupby(["h0", "h1"]).ngroups == 1 and parts.groupby("salt").size().max() < 100
+
+
+def test_suffixes_of_long_texts_in_segments(spark, monkeypatch):
+    rng = random.Random(6)
+    text = "".join(rng.choice("abcd ") for _ in range(1500))
+    rows = [(1, text + "x" + text[300:800]), (2, text[100:900]), (3, "y" * 400)]
+    whole = suffixes.anchors
+    monkeypatch.setattr(suffixes, "anchors", lambda width: whole(width, 150))
+    got = rows_of(suffixes.dedup(table(spark, rows)), "doc_id")
+    assert {i: (r["n_bytes"], r["n_removed"], r["n_spans"]) for i, r in got.items()} == {i: w[:3] for i, w in brute.suffix_dedup(rows, 200).items()}
+
+
 def test_cover_is_a_difference_cover():
     diffs = {(a - b) % suffixes.PERIOD for a in suffixes.COVER for b in suffixes.COVER}
     assert diffs == set(range(suffixes.PERIOD))
