@@ -309,13 +309,14 @@ def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int =
     crowded = mixed.filter(F.col("d") > crowd)
     if not crowded.isEmpty():
         # A string is counted in parts, and its places look for their part only, so a string at very many places is no hot key.
-        suffixes = stash.keep(wanted(crowded).mapInArrow(hashed(width, SALTS), _ddl(SUFFIX)), "suffixes")
-        parts = stash.keep(suffixes.groupBy("h0", "h1", "salt").agg(F.count("*").alias("n")), "parts")
+        # Not written: as parts of one plan, these and the contexts share one shuffle of the texts.
+        suffixes = wanted(crowded).mapInArrow(hashed(width, SALTS), _ddl(SUFFIX))
+        parts = suffixes.groupBy("h0", "h1", "salt").agg(F.count("*").alias("n"))
         again = parts.join(parts.groupBy("h0", "h1").agg(F.sum("n").alias("all")).filter("all > 1"), ["h0", "h1"])
         hit = suffixes.filter("not done").join(again, ["h0", "h1", "salt"], "left_semi")
         partial = partial.unionByName(hit.select("key", "s", (F.col("s") + width).alias("e")))
     spans = stash.keep(whole.unionByName(partial).groupBy("key").agg(F.collect_list(F.struct("s", "e")).alias("spans")), "spans")
-    stash.drop("often", "found", "equal", "mixed", "suffixes", "parts")
+    stash.drop("often", "found", "equal", "mixed")
     return source.join(spans, "key", "left").mapInArrow(remove, _ddl(KEPT)).drop("key").withColumnRenamed("doc_id", key)
 
 
