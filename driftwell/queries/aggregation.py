@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..operators import aggregates, groups
 from .language import engine
-from .registry import Tables, query
+from .registry import Tables, case_sensitive, query
 
 aggregates.define("geometric", {"sum": lambda c: F.sum(F.ln(c)), "n": F.count}, lambda p: F.exp(p["sum"] / F.nullif(p["n"], F.lit(0))))
 aggregates.define("spread", {"high": F.max, "low": F.min}, lambda p: p["high"] - p["low"])
@@ -78,8 +78,9 @@ def pivot_attributes(t: Tables) -> DataFrame:
 
 @query("""SELECT o_orderpriority AS p, count(*) FILTER (o_orderstatus = 'F') AS "F", count(*) FILTER (o_orderstatus = 'O') AS "O", count(*) FILTER (o_orderstatus = 'P') AS "P" FROM orders GROUP BY 1""")
 def pivot_discovered(t: Tables) -> DataFrame:
-    """The pivot's columns are listed from the data and given to the plan; more values than a table should have columns are an error."""
-    most = 1000
+    """The pivot's columns are listed from the data and given to the plan; more values than a table should have columns are an error.
+    Column ``p`` and the one of status P differ by case only, so the rows belong to a session that tells them apart."""
+    t, most = Tables(case_sensitive(t.spark), t.folder), 1000
     values = [r[0] for r in t.orders.select("o_orderstatus").distinct().orderBy("o_orderstatus").limit(most + 1).collect()]
     if len(values) > most:
         raise ValueError(f"more than {most} values to pivot by")

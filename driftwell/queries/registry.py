@@ -22,6 +22,16 @@ class Tables:
     __getattr__ = __getitem__
 
 
+def case_sensitive(spark: SparkSession) -> SparkSession:
+    """A session with the settings of this one, where names that differ by case only are different columns. The one given stays as it is."""
+    own = spark.newSession()
+    for key, value in spark.conf.getAll.items():
+        if spark.conf.isModifiable(key) and own.conf.get(key, None) != value:
+            own.conf.set(key, value)
+    own.conf.set("spark.sql.caseSensitive", "true")
+    return own
+
+
 def query(sql: str | None = None) -> Callable:
     """Registers a function of Tables under its name."""
 

@@ -58,3 +58,14 @@ def test_every_document_is_cleaned(spark, duck):
     got = holds(spark, duck, "strings_clean", cut, "SELECT * REPLACE (CASE WHEN first = 999999 THEN -1 ELSE first END AS first) FROM ({})")
     assert len(got) == duck.execute("SELECT count(*) FROM documents").fetchone()[0]
     assert any(-1 in row for row in got)
+
+
+def test_pivot_can_be_written(spark, duck, tmp_path):
+    """Columns p and P are told apart by the session of the rows, also where they are written; that of the caller stays as it was."""
+    df = queries.queries()["pivot_discovered"](spark, FOLDER)
+    df.write.parquet(path := str(tmp_path / "pivot"))
+    back = df.sparkSession.read.parquet(path)
+    found = duck.execute(queries.oracle_sql()["pivot_discovered"])
+    assert back.columns == [c[0] for c in found.description] and sorted(map(tuple, back.collect())) == sorted(found.fetchall())
+    assert [r[0] for r in df.select("P").orderBy("p").collect()] == [r[0] for r in back.orderBy("p").select("P").collect()]
+    assert spark.conf.get("spark.sql.caseSensitive") == "false" and df.sparkSession.conf.get("spark.sql.shuffle.partitions") == spark.conf.get("spark.sql.shuffle.partitions")
