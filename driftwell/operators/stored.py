@@ -1,4 +1,4 @@
-"""Cutting lineage by a checkpoint in the folder that the cluster names, or one of our own where it names none."""
+"""Cutting lineage by a checkpoint in the folder that the cluster names, or one of our own where it names none; tasks of bounded size."""
 
 from __future__ import annotations
 
@@ -38,3 +38,8 @@ def written(df: DataFrame) -> DataFrame:
 def stored(df: DataFrame) -> DataFrame:
     shared(df.sparkSession)
     return df.checkpoint()
+
+
+def tasks(df: DataFrame, rows: int = 1 << 20) -> int:
+    """Partitions for a table that is dealt out by a key: each core has one, and none has many more rows than that, however large the table."""
+    return max(df.sparkSession.sparkContext.defaultParallelism, -(-df.count() // rows))

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from ..functions import jsons
 from ..operators import joins, sets
-from ..operators.stored import stored
+from ..operators.stored import stored, tasks
 from .registry import Tables, query
 
 
@@ -172,10 +172,12 @@ def report_duplicates(t: Tables) -> DataFrame:
   FROM orders LEFT JOIN customer ON o_custkey = c_custkey LEFT JOIN nation ON c_nationkey = n_nationkey LEFT JOIN lineitem ON l_orderkey = o_orderkey
   WHERE o_orderkey NOT IN (SELECT o_orderkey FROM orders WHERE o_orderstatus = 'F') GROUP BY 1, 2, 3""")
 def report_wide_facts(t: Tables) -> DataFrame:
-    loaded = t.orders.filter("o_orderstatus = 'F'").select("o_orderkey")
-    new = t.orders.join(loaded, "o_orderkey", "left_anti")
-    eav = t.lineitem.join(new.select("o_orderkey"), F.col("l_orderkey") == F.col("o_orderkey"), "left_semi").groupBy("l_orderkey").pivot("l_returnflag", ["R", "N"]).agg(F.max("l_quantity"))
-    wide = new.join(t.customer, F.col("o_custkey") == F.col("c_custkey"), "left").join(t.nation, F.col("c_nationkey") == F.col("n_nationkey"), "left").join(eav, F.col("o_orderkey") == F.col("l_orderkey"), "left")
+    """Orders not loaded yet, with the largest quantities of two flags as columns. Orders and lines are dealt by order into tasks of bounded size."""
+    n, flag = tasks(t.lineitem), lambda f: F.max(F.when(F.col("l_returnflag") == f, F.col("l_quantity")))
+    orders = t.orders.repartition(n, "o_orderkey")
+    new = orders.join(orders.filter("o_orderstatus = 'F'").select("o_orderkey"), "o_orderkey", "left_anti")
+    eav = t.lineitem.repartition(n, "l_orderkey").groupBy("l_orderkey").agg(flag("R").alias("R"), flag("N").alias("N"))
+    wide = new.join(eav, F.col("o_orderkey") == F.col("l_orderkey"), "left").join(t.customer, F.col("o_custkey") == F.col("c_custkey"), "left").join(t.nation, F.col("c_nationkey") == F.col("n_nationkey"), "left")
     return wide.select("o_orderkey", "c_name", "n_name", F.col("R").alias("returned"), F.coalesce("N", F.lit(0)).alias("kept"))
 
 

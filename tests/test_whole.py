@@ -1,11 +1,14 @@
 """Queries over whole tables: each against its registered SQL, on larger tables than those of test_oracles."""
 
 import math
+import re
 
 import duckdb
 import pytest
 
 from driftwell import queries
+from driftwell.operators import stored
+from driftwell.queries import relational
 
 from .test_oracles import TABLES, near, rows
 
@@ -69,3 +72,19 @@ def test_pivot_can_be_written(spark, duck, tmp_path):
     assert back.columns == [c[0] for c in found.description] and sorted(map(tuple, back.collect())) == sorted(found.fetchall())
     assert [r[0] for r in df.select("P").orderBy("p").collect()] == [r[0] for r in back.orderBy("p").select("P").collect()]
     assert spark.conf.get("spark.sql.caseSensitive") == "false" and df.sparkSession.conf.get("spark.sql.shuffle.partitions") == spark.conf.get("spark.sql.shuffle.partitions")
+
+
+def test_wide_facts_in_tasks_of_bounded_size(spark, duck, monkeypatch):
+    """Lines and orders meet in tasks whose number follows from the rows, whatever the number of shuffle partitions."""
+    holds(spark, duck, "report_wide_facts", "")
+    monkeypatch.setattr(relational, "tasks", lambda df: stored.tasks(df, 2000))
+    lines, key = duck.execute("SELECT count(*) FROM lineitem").fetchone()[0], "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "1")
+    try:
+        text = queries.queries()["report_wide_facts"](spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
+        dealt = [int(n) for n in re.findall(r"hashpartitioning\([lo]_orderkey#\d+L?, (\d+)\)", text)]
+        assert len(dealt) == 3 and set(dealt) == {-(-lines // 2000)}
+        holds(spark, duck, "report_wide_facts", "")
+    finally:
+        spark.conf.set(key, before)
