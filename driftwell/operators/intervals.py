@@ -1,4 +1,4 @@
-"""Intervals: joins with irregular points through dyadic cells, and counts over regular parts by a sweep.
+"""Intervals: joins with irregular points through dyadic cells, counts at such points and over regular parts by sweeps.
 
 A range of points is cut into 2^levels cells. An interval is the disjoint union of at most two dyadic nodes a level, and a
 point lies in one node a level, so that "the interval holds the point" is an equality of nodes: an equi-join that Spark can
@@ -13,6 +13,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from .segments import ordered
+
 NODE = "array<struct<level:int,node:long>>"
 
 
@@ -60,6 +62,23 @@ def _shifted(cell: Column) -> Column:
     return F.floor(cell / F.pow(F.lit(2.0), F.col("level_"))).cast("long")
 
 
+def held(points: DataFrame, records: DataFrame, low: str, high: str, at: str) -> DataFrame:
+    """at, n: each different point with the number of records whose interval [low, high] holds it, zero included. A missing
+    low holds nothing, a missing high is open, a missing point is held by nothing.
+
+    Each record is two changes, added up by their place before the shuffle; a point's number is the running total of all
+    changes up to it, in blocks of the whole order. No pair is written, however long the intervals are.
+    """
+    some = records.filter(F.col(low).isNotNull() & (F.col(high).isNull() | (F.col(low) <= F.col(high))))
+    change = lambda c, starts, ends: F.struct(F.col(c).alias("place_"), F.lit(starts).alias("starts_"), F.lit(ends).alias("ends_"), F.lit(False).alias("point_"))
+    ends = some.select(F.inline(F.array(change(low, 1, 0), change(high, 0, 1)))).filter("place_ is not null")
+    marks = points.select(F.col(at).alias("place_"), F.lit(0).alias("starts_"), F.lit(0).alias("ends_"), F.lit(True).alias("point_"))
+    changes = marks.unionByName(ends).groupBy("place_").agg(F.sum("starts_").alias("starts_"), F.sum("ends_").alias("ends_"), F.bool_or("point_").alias("point_"))
+    # A record still holds the place of its end.
+    total = ordered(changes, [], [F.col("place_")]).run("n", "sum", F.col("starts_") - F.col("ends_")).done("n")
+    return total.filter("point_").select(F.col("place_").alias(at), (F.col("n") + F.col("ends_")).alias("n"))
+
+
 def sweep(df: DataFrame, keys: list[str], first: Column, last: Column, parts: int, sums: dict[str, Column] | None = None) -> DataFrame:
     """keys, part, n and sums of the records whose parts [first, last] hold that part; parts without records are left out.
 

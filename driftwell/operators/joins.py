@@ -55,7 +55,8 @@ def image(df: DataFrame, value: str, relation: DataFrame, key: str, target: str)
 
 def snapshot(records: DataFrame, parts: DataFrame, low: str, high: str, at: str) -> DataFrame:
     """Records whose interval [low, high] holds a partition's start; a missing high is open. For irregular partitions, which
-    keep a row without a record where none holds their start. An equi-join on dyadic cells (``intervals``)."""
+    keep a row without a record where none holds their start. An equi-join on dyadic cells (``intervals``); where only the
+    number of records matters, ``intervals.held`` gives it without the pairs."""
     met = interval_join(parts, records, low, high, at)
     bare = parts.join(met.select(F.col(at).alias("met_")).distinct(), F.col(at) == F.col("met_"), "left_anti")
     return met.unionByName(bare.select("*", *[F.lit(None).cast(t).alias(c) for c, t in records.dtypes]))

@@ -58,6 +58,34 @@ def test_snapshot_keeps_empty_partitions(spark):
     assert "NestedLoop" not in plan(joins.snapshot(records, parts, "lo", "hi", "at"))
 
 
+@pytest.mark.parametrize("kind", ["int", "double", "timestamp"])
+def test_held_counts_what_the_join_gives(spark, kind):
+    rng = random.Random(5)
+    points = [(rng.choice([None, *range(50)]),) for _ in range(60)]
+    records = [(rng.choice([None, *range(-10, 60)]), rng.choice([None, *range(-10, 60)])) for _ in range(200)]
+    of = lambda rows, names: spark.createDataFrame(rows, ", ".join(f"{n} int" for n in names)).select(*[F.col(n).cast(kind) for n in names])
+    p, r = of(points, ["at"]), of(records, ["lo", "hi"])
+    want = {x: sum(x is not None and lo is not None and lo <= x and (hi is None or x <= hi) for lo, hi in records) for (x,) in points}
+    got = lambda *a: listed(intervals.held(*a, "lo", "hi", "at").select(F.col("at").cast("long"), "n"))
+    assert got(p, r) == sorted(want.items(), key=str) and 0 in want.values() and None in want
+    assert got(p, r.limit(0)) == sorted(((x, 0) for x in want), key=str) and got(p.limit(0), r) == []
+
+
+def test_snapshot_counts_write_no_pairs(spark, tmp_path):
+    """Ten copies of the items give ten times the counts, without a join of items with days."""
+    def run(times):
+        for t in ("orders", "lineitem"):
+            key = f"{t[0]}_orderkey"
+            rows = spark.read.parquet(f"{FOLDER}/{t}.parquet").crossJoin(spark.range(times))
+            rows.withColumn(key, F.col(key) + F.col("id") * 10**6).drop("id").write.parquet(f"{tmp_path}/{times}/{t}.parquet")
+        df = queries.queries()["snapshot_irregular"](spark, f"{tmp_path}/{times}")
+        assert "node_" not in plan(df)
+        return {r["d"]: r["n"] for r in df.collect()}
+
+    one, ten = run(1), run(10)
+    assert ten == {d: 10 * n for d, n in one.items()} and sum(one.values()) > 0
+
+
 def test_sweep(spark):
     rng = random.Random(4)
     rows = [(rng.choice([None, "x", "y"]), rng.randint(-5, 25), rng.randint(-5, 25), rng.randint(1, 9)) for _ in range(200)]
